@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import types as T
 
 from terrace.contracts import (
@@ -74,7 +76,9 @@ def result_schema(place: str) -> T.StructType:
     )
 
 
-def target_schema(place: str | None, with_level: bool = False) -> T.StructType:
+def target_schema(
+    place: str | None, with_level: bool = False, years: Iterable[int] = TARGET_YEARS
+) -> T.StructType:
     """Agreed targets, one column per year."""
     return T.StructType(
         [
@@ -82,7 +86,7 @@ def target_schema(place: str | None, with_level: bool = False) -> T.StructType:
             *_columns([place] if place else [], T.StringType()),
             T.StructField("rede", T.StringType()),
             T.StructField("taxa_alfabetizacao", T.DoubleType()),
-            *_columns([f"{TARGET_PREFIX}{y}" for y in TARGET_YEARS], T.DoubleType()),
+            *_columns([f"{TARGET_PREFIX}{y}" for y in years], T.DoubleType()),
             *_columns(["nivel_alfabetizacao"] if with_level else [], T.IntegerType()),
             T.StructField("percentual_participacao", T.DoubleType()),
         ]
@@ -140,7 +144,13 @@ def _result(name: str, place: str, dimension: str) -> EntityContract:
     )
 
 
-def _target(name: str, place: str | None, dimension: str | None, level: bool = False):
+def _target(
+    name: str,
+    place: str | None,
+    dimension: str | None,
+    years: Iterable[int],
+    level: bool = False,
+) -> EntityContract:
     where = (place,) if place else ()
     return _published(
         name,
@@ -150,17 +160,20 @@ def _target(name: str, place: str | None, dimension: str | None, level: bool = F
         more_integers=("nivel_alfabetizacao",) if level else (),
         doubles=("taxa_alfabetizacao", "percentual_participacao"),
         critical=("ano", *where, "taxa_alfabetizacao"),
-        source_schema=target_schema(place, level),
+        source_schema=target_schema(place, level, years),
     )
 
 
-PUBLISHED = (
-    _result(STATE_RESULT, "sigla_uf", "uf"),
-    _result(MUNICIPAL_RESULT, "id_municipio", "municipio"),
-    _target(NATIONAL_TARGET, None, None),
-    _target(STATE_TARGET, "sigla_uf", "uf"),
-    _target(MUNICIPAL_TARGET, "id_municipio", "municipio", level=True),
-)
+def published(years: Iterable[int] = TARGET_YEARS) -> tuple[EntityContract, ...]:
+    """Contracts of the five published tables, with a target column for each of ``years``."""
+    return (
+        _result(STATE_RESULT, "sigla_uf", "uf"),
+        _result(MUNICIPAL_RESULT, "id_municipio", "municipio"),
+        _target(NATIONAL_TARGET, None, None, years),
+        _target(STATE_TARGET, "sigla_uf", "uf", years),
+        _target(MUNICIPAL_TARGET, "id_municipio", "municipio", years, level=True),
+    )
+
 
 STUDENTS = EntityContract(
     name=STUDENT,
@@ -196,7 +209,7 @@ STUDENT_PAYLOAD = PayloadSpec(
     ),
 )
 
-CONTRACTS = (*PUBLISHED, STUDENTS)
+CONTRACTS = (*published(), STUDENTS)
 REQUIRED = (MUNICIPAL_RESULT, STATE_RESULT)
 
 # Each measure against the target at the three territorial scales.

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-LAYERS = ("bronze", "silver", "gold")
-
 
 def quoted(*parts: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
@@ -28,10 +26,9 @@ def register(spark: SparkSession, database: str, layer: str, entity: str, path:
     return full
 
 
-def column_names(spark: SparkSession, table: str) -> DataFrame:
-    """Columns of a registered table, one per row, in order."""
-    rows = [(i, c.name, c.isPartition) for i, c in enumerate(spark.catalog.listColumns(table), 1)]
-    return spark.createDataFrame(rows, "position int, column_name string, is_partition boolean")
+def column_names(spark: SparkSession, table: str) -> list[str]:
+    """Columns of a registered table, in order, partition columns last."""
+    return [c.name for c in spark.catalog.listColumns(table)]
 
 
 def has_columns(df: DataFrame, *names: str) -> bool:
