@@ -1,20 +1,36 @@
 """Exact arithmetic for rates and means.
 
 Sums of doubles depend on the order in which tasks finish. Measures are therefore
-summed as decimals, and quotients are rounded half up from the exact sums, so that a
-result is the same whatever the number of partitions.
+summed in whole millionths, and quotients are rounded half up from the exact sums, so
+that a result is the same whatever the number of partitions. The sums are decimals of
+29 digits, which no number of rows overflows; they start from bigints, since turning
+a double into a decimal for every row would cost more than the sum itself.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT = "decimal(18,6)"
+PLACES = 6
+
+
+def millionths(measure: Column) -> Column:
+    """The measure in whole millionths; null if it is no finite number."""
+    return F.rint(measure * F.lit(float(10**PLACES))).try_cast("bigint")
+
+
+def exact_sum(measure: Column) -> Column:
+    """Aggregate: sum to six decimals."""
+    return F.sum(millionths(measure).cast("decimal(19,0)")) * F.lit(Decimal(1).scaleb(-PLACES))
 
 
-def exact(measure: Column) -> Column:
-    return measure.cast(EXACT)
+def exact_sum_of_products(a: Column, b: Column) -> Column:
+    """Aggregate: sum of ``a * b``. A product of nine million or more fails, it does not wrap."""
+    product = millionths(a) * millionths(b)
+    return F.sum(product.cast("decimal(19,0)")) * F.lit(Decimal(1).scaleb(-2 * PLACES))
 
 
 def half_up_quotient(part: Column, whole: Column, places: int = 2) -> Column:
@@ -36,7 +52,7 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
 
 def exact_mean(measure: Column, places: int = 2) -> Column:
     """Aggregate: mean of the non-null values, rounded half up."""
-    return half_up_quotient(F.sum(exact(measure)), F.count(measure), places)
+    return half_up_quotient(exact_sum(measure), F.count(millionths(measure)), places)
 
 
 def bin_start(value: Column, width: int) -> Column:

@@ -28,25 +28,31 @@ def add_dimension(
     return df.join(tables[dimension.name], on=dimension.key, how="left")
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """The rows a join on ``keys`` can meet, but the query fails if a key occurs twice.
+def with_unique_key(
+    base: DataFrame, right: DataFrame, keys: Sequence[str], what: str
+) -> DataFrame:
+    """The same base rows, but the query fails if ``right`` repeats a key.
 
-    The test is part of the plan: an aggregate on the join key, whose partitioning the
-    join can use, and not a counting job of its own. Rows with a null in the key never
-    join and are left out.
+    The test is a scalar subquery over the small right side, so it runs with the query
+    and not as a job of its own. It leaves both inputs of the join as they are: the
+    planner still sees the size of the right table, and a hot key of the base can be
+    split by the adaptive skew join, which an aggregate below the join would prevent.
+    Keys with a null never join and are not tested.
     """
-    others = [c for c in df.columns if c not in keys]
-    grouped = df.dropna(subset=list(keys)).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.max(c).alias(c) for c in others]
+    repeated = (
+        right.dropna(subset=list(keys))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > 1)
+        .agg(F.max(F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])).alias("_key"))
+    )
+    message = F.concat(
+        F.lit(f"{what} has several rows for {', '.join(keys)} = "), F.col("_key")
     )
-    clash = F.raise_error(
-        F.concat(
-            F.lit(f"{what} has several rows for {', '.join(keys)} = "),
-            F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]),
-        )
+    unique = repeated.select(
+        F.when(F.col("_key").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
     )
-    single = F.when(F.col("_rows") > 1, clash.cast("boolean")).otherwise(F.lit(True))
-    return grouped.filter(single).select(*df.columns)
+    return base.filter(unique.scalar())
 
 
 def add_columns(
@@ -55,7 +61,7 @@ def add_columns(
     """Left join on equal column names with a checked right side; absent right side, no join."""
     if right is None:
         return base
-    return base.join(one_row_per_key(right, keys, what), on=list(keys), how="left")
+    return with_unique_key(base, right, keys, what).join(right, on=list(keys), how="left")
 
 
 def join_coverage(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.contracts import CompositeGroup, MetricColumns
-from terrace.functions.numbers import exact, exact_mean, half_up_quotient, percent
+from terrace.functions.numbers import (
+    exact_mean,
+    exact_sum,
+    exact_sum_of_products,
+    half_up_quotient,
+    millionths,
+    percent,
+)
 
 SUMS = (
     "alunos_total",
@@ -27,18 +34,19 @@ def group_sums(facts: DataFrame, columns: MetricColumns) -> DataFrame:
     Success counts among those present only. A weight counts where there is a score.
     """
     present = F.col(columns.present)
-    score = exact(F.col(columns.score))
-    weight = exact(F.col(columns.weight))
+    score = F.col(columns.score)
+    weight = F.col(columns.weight)
+    scored = millionths(score).isNotNull()
     return facts.groupBy(*columns.groups, columns.network).agg(
         F.count(F.lit(1)).alias("alunos_total"),
         F.sum(present).cast("bigint").alias("alunos_presentes"),
         F.sum(F.when(present == 1, F.col(columns.success)).otherwise(0))
         .cast("bigint")
         .alias("alunos_alfabetizados"),
-        F.sum(score).alias("soma_proficiencia"),
-        F.count(columns.score).alias("n_proficiencia"),
-        F.sum(score * weight).alias("soma_proficiencia_peso"),
-        F.sum(F.when(F.col(columns.score).isNotNull(), weight)).alias("soma_peso"),
+        exact_sum(score).alias("soma_proficiencia"),
+        F.count_if(scored).alias("n_proficiencia"),
+        exact_sum_of_products(score, weight).alias("soma_proficiencia_peso"),
+        exact_sum(F.when(scored, weight)).alias("soma_peso"),
     )
 
 

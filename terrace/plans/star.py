@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.contracts import CodeList, CompositeGroup
-from terrace.functions.numbers import exact, half_up_quotient, percent
+from terrace.functions.numbers import exact_sum, half_up_quotient, percent
 from terrace.operators.clean import decode
 from terrace.operators.metrics import memberships
 from terrace.plans import literacy as L
@@ -107,7 +107,7 @@ def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("l_quantity") >= 25).alias("high"),
-            F.sum(exact(F.col("l_extendedprice"))).alias("price"),
+            exact_sum(F.col("l_extendedprice")).alias("price"),
         )
     )
 
@@ -175,14 +175,23 @@ def _published(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataF
     }
 
 
-def conformed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """What the analytical table needs, decoded and with descriptive columns."""
-    tables = published(spark, sf_dir)
-    municipal = tables[L.MUNICIPAL_RESULT]
+def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    municipal = published(spark, sf_dir)[L.MUNICIPAL_RESULT]
     for codes in CODES:
         municipal = decode(municipal, codes)
-    described = municipal.join(places(spark, sf_dir).drop("number"), "id_municipio", "left")
-    return {**tables, L.MUNICIPAL_RESULT: described, L.STUDENT: students(spark, sf_dir)}
+    return municipal.join(places(spark, sf_dir).drop("number"), "id_municipio", "left")
+
+
+def conformed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What the analytical table needs, decoded and with descriptive columns."""
+    described = written_once(
+        spark, sf_dir, "conformed_municipal", lambda: _described(spark, sf_dir)
+    )
+    return {
+        **published(spark, sf_dir),
+        L.MUNICIPAL_RESULT: described,
+        L.STUDENT: students(spark, sf_dir),
+    }
 
 
 def unified(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,11 @@
-"""Shared scratch tables for results that are read more than once."""
+"""Where tables go that are written only to be read again."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -21,11 +21,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError(f"set {SETTING} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="terrace-")
     return f"{base}/terrace/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
-def through_table(df: DataFrame, label: str) -> DataFrame:
-    """Write once and read back: later readers start from the files, not from the plan."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
