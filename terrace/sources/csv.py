@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +17,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows of the file, with the raw line of the malformed ones in ``_corrupt_record``.
 
     A renamed, missing or reordered header column fails the job instead of shifting
-    values silently; an empty field is null.
+    values silently; an empty field is null. Every row is parsed in full, also when a
+    query needs few columns, since a row is malformed because of any of its fields.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
+    rows = (
         spark.read.schema(with_corrupt)
         .option("header", True)
         .option("sep", ",")
@@ -30,6 +33,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("emptyValue", "")
         .csv(path)
     )
+    # The reader converts only the fields a query asks for. Counting the nulls asks for all.
+    nulls = reduce(add, [F.col(name).isNull().cast("int") for name in schema.fieldNames()])
+    return rows.withColumn(CORRUPT, F.when(nulls >= 0, F.col(CORRUPT)))
 
 
 def valid_rows(df: DataFrame) -> DataFrame:

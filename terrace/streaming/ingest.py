@@ -96,7 +96,7 @@ def ingest_status(query: StreamingQuery) -> dict[str, object]:
         "active": query.isActive,
         "message": query.status["message"],
         "batch_id": last.batchId if last else None,
-        "input_rows": sum(p.numInputRows for p in query.recentProgress),
+        "read_up_to": [source.endOffset for source in last.sources] if last else [],
     }
 
 
