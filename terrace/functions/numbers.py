@@ -3,8 +3,8 @@
 Sums of doubles depend on the order in which tasks finish. Measures are therefore
 summed in whole millionths, and quotients are rounded half up from the exact sums, so
 that a result is the same whatever the number of partitions. The sums are decimals of
-29 digits, which no number of rows overflows; they start from bigints, since turning
-a double into a decimal for every row would cost more than the sum itself.
+29 and 38 digits, which no number of rows overflows; they start from bigints, since
+turning a double into a decimal for every row would cost more than the sum itself.
 """
 
 from __future__ import annotations
@@ -22,15 +22,18 @@ def millionths(measure: Column) -> Column:
     return F.rint(measure * F.lit(float(10**PLACES))).try_cast("bigint")
 
 
+def _units(measure: Column) -> Column:
+    return millionths(measure).cast("decimal(19,0)")
+
+
 def exact_sum(measure: Column) -> Column:
     """Aggregate: sum to six decimals."""
-    return F.sum(millionths(measure).cast("decimal(19,0)")) * F.lit(Decimal(1).scaleb(-PLACES))
+    return F.sum(_units(measure)) * F.lit(Decimal(1).scaleb(-PLACES))
 
 
 def exact_sum_of_products(a: Column, b: Column) -> Column:
-    """Aggregate: sum of ``a * b``. A product of nine million or more fails, it does not wrap."""
-    product = millionths(a) * millionths(b)
-    return F.sum(product.cast("decimal(19,0)")) * F.lit(Decimal(1).scaleb(-2 * PLACES))
+    """Aggregate: sum of ``a * b``."""
+    return F.sum(_units(a) * _units(b)) * F.lit(Decimal(1).scaleb(-2 * PLACES))
 
 
 def half_up_quotient(part: Column, whole: Column, places: int = 2) -> Column:

@@ -410,6 +410,10 @@ REPORTS: dict[str, Query] = {
 }
 
 
+def report_top_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_results(star.published(spark, sf_dir)[L.STATE_RESULT], YEAR)
+
+
 # --- Part E: quality and stream -------------------------------------------------------
 
 
@@ -556,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "target_gap": target_gap,
     "unified_table": unified_table,
     **REPORTS,
+    "report_top_results": report_top_results,
     "quality_report": quality_report_query,
     "quality_report_targets": quality_report_targets,
     "quality_null_count": quality_null_count,

@@ -440,6 +440,9 @@ FROM gold WHERE {SLICE} GROUP BY nome_regiao, meta_atingida_municipio"""
     ),
     "report_top_n": extremes(SLICE, "DESC"),
     "report_bottom_n": extremes(ASIA, "ASC"),
+    "report_top_results": "WITH " + ",".join([MEMBER, PLACE, STATE]) + """
+SELECT ano, sigla_uf, rede, taxa_alfabetizacao, media_portugues FROM state WHERE ano = 1997
+ORDER BY taxa_alfabetizacao DESC NULLS LAST, sigla_uf, serie, rede LIMIT 10""",
     "report_student_kpis": gold(
         f"""
 SELECT *, proficiencia_media - 743.0::DOUBLE AS vs_corte FROM (

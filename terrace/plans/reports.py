@@ -132,6 +132,17 @@ def extremes(table: DataFrame, wanted: Slice, highest: bool = True, n: int = 10)
     )
 
 
+def top_results(results: DataFrame, year: int, n: int = 10) -> DataFrame:
+    """The n highest published rates of a year, from a result table of any layer."""
+    place = "sigla_uf" if "sigla_uf" in results.columns else "id_municipio"
+    return (
+        apply_slice(results, Slice(year=year))
+        .orderBy(F.desc("taxa_alfabetizacao"), place, "serie", "rede")
+        .limit(n)
+        .select("ano", place, "rede", "taxa_alfabetizacao", "media_portugues")
+    )
+
+
 def student_kpis(table: DataFrame, wanted: Slice, cut: float = CUT_SCORE) -> DataFrame:
     """Students, attendance, observed rate, and the mean of the groups' weighted mean scores.
 
