@@ -35,7 +35,9 @@ SOURCE, RAW, CONFORMED, ANALYTICAL, QUARANTINE = (
 COPIES = "_copies_of_key"
 
 
-def ingest_entity(store: Store, contract: EntityContract, run: Run) -> dict[str, object]:
+def ingest_entity(
+    store: Store, contract: EntityContract, run: Run, replace_all: bool = False
+) -> dict[str, object]:
     """One source file to the raw layer; malformed rows to the quarantine of this run.
 
     The write notices whether there was any malformed row; only then the file is read a
@@ -50,6 +52,7 @@ def ingest_entity(store: Store, contract: EntityContract, run: Run) -> dict[str,
         store.path(RAW, contract.name),
         partition_by=contract.partition_by,
         compact=contract.compact,
+        replace_all=replace_all,
     )
     rejected = 0
     if noticed.get.get("n"):
@@ -94,6 +97,7 @@ def conform_entity(
     dimensions: Mapping[str, Dimension],
     dimension_tables: Mapping[str, DataFrame],
     run: Run,
+    replace_all: bool = False,
 ) -> dict[str, object] | None:
     """Raw to conformed layer, with the quality figures taken by the write itself."""
     raw = read_raw(store, contract)
@@ -106,6 +110,7 @@ def conform_entity(
         store.path(CONFORMED, contract.name),
         partition_by=contract.partition_by,
         compact=contract.compact,
+        replace_all=replace_all,
         watch=[
             F.coalesce(F.sum(COPIES), F.lit(0)).alias("rows_before"),
             F.sort_array(F.collect_set("ano")).alias("years"),
@@ -128,11 +133,14 @@ def build_analytical(
     run: Run,
     contracts: Sequence[EntityContract] = L.CONTRACTS,
     composites: Sequence[CompositeGroup] = L.COMPOSITES,
+    replace_all: bool = False,
 ) -> dict[str, object]:
     """Conformed tables to the analytical table; fails at once if a required one is missing."""
     tables = store.read_present(CONFORMED, [c.name for c in contracts], L.REQUIRED)
     table = analytical_lineage(analytical_table(tables, composites), run, store.root)
-    figures = write_layer(table, store.path(ANALYTICAL, L.ANALYTICAL), compact=True)
+    figures = write_layer(
+        table, store.path(ANALYTICAL, L.ANALYTICAL), compact=True, replace_all=replace_all
+    )
     report = {"layer": ANALYTICAL, "entity": L.ANALYTICAL, **figures}
     log.info("%s", report)
     return report
@@ -191,17 +199,21 @@ def run_layers(
     contracts: Sequence[EntityContract] = L.CONTRACTS,
     dimensions: Mapping[str, Dimension] = L.DIMENSIONS,
     composites: Sequence[CompositeGroup] = L.COMPOSITES,
+    replace_all: bool = False,
 ) -> list[dict[str, object]]:
     """Raw, conformed and analytical layer in order; the first failure ends the run.
 
     Student records come in by stream beforehand. A second run replaces the partitions
-    it writes and leaves the result as it was.
+    it writes and leaves the result as it was. A year that is gone from the sources stays
+    in the layers unless ``replace_all`` rewrites the tables as a whole.
     """
     run = run or Run()
     store = Store(spark, root)
-    reports = [ingest_entity(store, c, run) for c in contracts if c.source_file]
+    reports = [ingest_entity(store, c, run, replace_all) for c in contracts if c.source_file]
     tables = load_dimensions(store, dimensions)
-    conformed = [conform_entity(store, c, dimensions, tables, run) for c in contracts]
+    conformed = [
+        conform_entity(store, c, dimensions, tables, run, replace_all) for c in contracts
+    ]
     reports += [r for r in conformed if r is not None]
-    reports.append(build_analytical(store, run, contracts, composites))
+    reports.append(build_analytical(store, run, contracts, composites, replace_all))
     return reports

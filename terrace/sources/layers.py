@@ -42,10 +42,11 @@ class Store:
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or nothing where there is no directory or no file with rows in it."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -82,7 +83,7 @@ def write_layer(
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)
-    return {**observation.get, "columns": len(stored.columns)}
+    return {"rows": 0, **observation.get, "columns": len(stored.columns)}
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -265,6 +265,28 @@ def test_absent_optional_tables_leave_their_columns_out(built, spark, tmp_path):
         assert gone not in table.columns
 
 
+def test_source_without_rows_counts_as_absent(spark, tmp_path):
+    files = {name: lines[:1] if "meta_alf" in name else lines for name, lines in FILES.items()}
+    write_sources(tmp_path, files)
+    reports_ = run_layers(spark, str(tmp_path), RUN)
+    assert by_entity(reports_, "bronze")[L.STATE_TARGET]["rows"] == 0
+    assert L.STATE_TARGET not in by_entity(reports_, "silver")
+    table = Store(spark, str(tmp_path)).read("gold", L.ANALYTICAL)
+    assert table.count() == 5 and "meta_atingida_uf" not in table.columns
+
+
+def test_a_year_that_is_gone_stays_unless_all_is_replaced(spark, rows, tmp_path):
+    write_sources(tmp_path)
+    run_layers(spark, str(tmp_path), RUN)
+    for name, lines in FILES.items():
+        kept = [line for line in lines if not line.startswith("2023")]
+        (tmp_path / "arquivos" / name).write_text("\n".join(kept) + "\n", encoding="utf-8")
+    for replace_all, years in ((False, [(2023,), (2024,)]), (True, [(2024,)])):
+        run_layers(spark, str(tmp_path), RUN, replace_all=replace_all)
+        table = Store(spark, str(tmp_path)).read("gold", L.ANALYTICAL)
+        assert rows(table.select("ano").distinct()) == years
+
+
 def test_missing_required_table_is_an_error(spark, tmp_path):
     with pytest.raises(MissingInput, match=L.STATE_RESULT):
         build_analytical(Store(spark, str(tmp_path)), RUN)
