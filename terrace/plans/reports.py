@@ -11,11 +11,18 @@ from pyspark.sql import functions as F
 from terrace.contracts import Slice
 from terrace.functions.numbers import bin_start, exact_mean, percent
 from terrace.functions.slices import apply_slice
-from terrace.functions.targets import BELOW, MET, NO_DATA, NO_TARGET, gap_to_target
-from terrace.functions.targets import status_rank
+from terrace.functions.targets import (
+    BELOW,
+    MET,
+    NO_DATA,
+    NO_TARGET,
+    gap_to_target,
+    status_rank,
+)
 from terrace.functions.text import contains_text, place_label
 from terrace.operators.compare import change_from_previous_year, share_of_group
 from terrace.plans.literacy import CUT_SCORE
+from terrace.sources.catalog import has_columns
 
 STUDENT_COLUMNS = ("alunos_total", "alunos_presentes", "alunos_alfabetizados", "proporcao_presenca")
 
@@ -248,7 +255,7 @@ def detail(
 
 def student_section(table: DataFrame, wanted: Slice) -> dict[str, DataFrame]:
     """The reports that need student data; none for a table built without it."""
-    if not set(STUDENT_COLUMNS) <= set(table.columns):
+    if not has_columns(table, *STUDENT_COLUMNS):
         return {}
     return {
         "student_kpis": student_kpis(table, wanted),

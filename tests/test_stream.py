@@ -86,6 +86,21 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path, published):
     assert read_ingested(spark, str(tmp_path / "out")).count() == 12
 
 
+def test_crash_between_write_and_commit(spark, rows, tmp_path, published):
+    """Without its commit a batch runs again; the records must not be there twice."""
+    run = lambda: drain(
+        file_records(spark, published, 1), handler(tmp_path, "a"), str(tmp_path / "c")
+    )
+    run()
+    before = rows(read_ingested(spark, str(tmp_path / "out")), *COLUMNS)
+    last = tmp_path / "c" / "commits" / "2"
+    last.unlink()
+    (tmp_path / "c" / "commits" / ".2.crc").unlink(missing_ok=True)
+    run()
+    assert last.exists()
+    assert rows(read_ingested(spark, str(tmp_path / "out")), *COLUMNS) == before
+
+
 def test_fresh_checkpoint_adds_nothing_after_dedup(spark, rows, tmp_path, published):
     for label in ("a", "b"):
         drain(file_records(spark, published), handler(tmp_path, label), str(tmp_path / label))
