@@ -113,7 +113,8 @@ def conform_entity(
         replace_all=replace_all,
         watch=[
             F.coalesce(F.sum(COPIES), F.lit(0)).alias("rows_before"),
-            F.sort_array(F.collect_set("ano")).alias("years"),
+            F.min("ano").alias("first_year"),
+            F.max("ano").alias("last_year"),
             *[
                 F.count_if(F.col(c).isNull()).alias(f"nulls_{c}")
                 for c in contract.critical

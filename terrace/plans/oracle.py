@@ -51,7 +51,8 @@ fact AS (
          l_linestatus AS serie, l_returnflag AS rede,
          CASE WHEN l_linenumber <= 6 THEN 1 ELSE 0 END AS presenca,
          CASE WHEN l_linenumber <= 6 AND l_quantity >= 25 THEN 1 ELSE 0 END AS alfabetizado,
-         CASE WHEN l_linenumber <= 6 THEN CAST(round(l_extendedprice * 100) AS HUGEINT) END AS cents,
+         CASE WHEN l_linenumber <= 6 THEN CAST(round(l_extendedprice * 100) AS HUGEINT) END
+           AS cents,
          CASE WHEN l_linenumber <= 6 THEN CAST(round(l_quantity) AS HUGEINT) END AS peso,
          l_orderkey, l_linenumber, l_partkey
   FROM lineitem)"""

@@ -97,7 +97,7 @@ def state_ranking(table: DataFrame, wanted: Slice) -> DataFrame:
 
 
 def rate_histogram(table: DataFrame, wanted: Slice, width: int = 5) -> DataFrame:
-    """Municipalities per bin of the rate; ``faixa`` is the lower and ``faixa_fim`` the upper edge."""
+    """Municipalities per bin of the rate, from ``faixa`` up to, not including, ``faixa_fim``."""
     rate = F.col("taxa_alfabetizacao_municipio")
     return (
         apply_slice(table, wanted)

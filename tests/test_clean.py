@@ -39,7 +39,8 @@ def test_names_that_clash_are_an_error(spark):
 
 
 def test_blanks(spark, rows):
-    df = spark.createDataFrame([("  a ", "", " x ", 1), ("   ", None, "", 2)], "a string, b string, _t string, n int")
+    data = [("  a ", "", " x ", 1), ("   ", None, "", 2)]
+    df = spark.createDataFrame(data, "a string, b string, _t string, n int")
     assert rows(blanks_to_null(df)) == [("a", None, " x ", 1), (None, None, "", 2)]
 
 
@@ -58,7 +59,9 @@ def test_cast_keeps_leading_zeros_and_turns_misfits_to_null(spark, rows):
     )
     cast = cast_by_contract(df, contract)
     assert [t for _, t in cast.dtypes] == ["string", "int", "double", "double"]
-    assert rows(cast) == [("007", 2024, 1.5, 70.0), ("008", None, None, None), (None, 3, 2.0, 100.0)]
+    assert rows(cast) == [
+        ("007", 2024, 1.5, 70.0), ("008", None, None, None), (None, 3, 2.0, 100.0),
+    ]
 
 
 def test_cast_numbers_to_text(spark, rows):

@@ -13,6 +13,7 @@ from terrace.plans import reports
 from terrace.plans.layers import (
     build_analytical,
     check_layers,
+    conform,
     register_layers,
     run_layers,
 )
@@ -84,9 +85,12 @@ FIELDS = (
 ).split()
 
 
+def payload_row(values):
+    return {"ano": "2024", "serie": "2", **dict(zip(FIELDS, values))}
+
+
 def payload(values):
-    record = {"ano": "2024", "serie": "2", **dict(zip(FIELDS, values))}
-    return json.dumps(record, ensure_ascii=False)
+    return json.dumps(payload_row(values), ensure_ascii=False)
 
 
 def write_sources(root, files=FILES):
@@ -142,7 +146,7 @@ def test_conformed_figures(built):
     conformed = by_entity(reports_, "silver")
     municipal = conformed[L.MUNICIPAL_RESULT]
     assert (municipal["rows_before"], municipal["rows"], municipal["removed"]) == (6, 5, 1)
-    assert municipal["years"] == [2023, 2024]
+    assert (municipal["first_year"], municipal["last_year"]) == (2023, 2024)
     assert conformed[L.STATE_TARGET]["nulls_taxa_alfabetizacao"] == 1
     table = store.read("silver", L.MUNICIPAL_RESULT)
     row = table.filter("id_municipio = '2304400'").first()
@@ -301,6 +305,18 @@ def test_renamed_header_fails(spark, tmp_path):
         run_layers(spark, str(tmp_path), RUN)
 
 
+def test_one_shuffle_from_raw_to_conformed(spark, capsys):
+    """Deduplication is the only exchange of the fact, and it sorts for the write as well."""
+    students = spark.createDataFrame([payload_row(v) for v in STUDENTS])
+    places = spark.createDataFrame([("3550308", "SP")], "id_municipio string, sigla_uf string")
+    tables = {"municipio": F.broadcast(places)}
+    table = conform(students, L.STUDENTS, L.DIMENSIONS, tables, RUN, "copies")
+    table.sortWithinPartitions("ano").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    assert plan.count("Sort [") == 2
+
+
 def test_repeated_target_key_fails(built, spark):
     from terrace.plans.analytical import analytical_table
 

@@ -160,7 +160,9 @@ def test_whole_number(spark, rows):
 
 
 def test_change_skips_a_missing_year(spark, rows, capsys):
-    data = [("a", 2020, 50.0, "x"), ("a", 2021, 55.0, "y"), ("a", 2023, 60.0, "z"), ("b", 2021, 1.0, None)]
+    data = [
+        ("a", 2020, 50.0, "x"), ("a", 2021, 55.0, "y"), ("a", 2023, 60.0, "z"), ("b", 2021, 1.0, None)
+    ]
     df = spark.createDataFrame(data, "k string, ano int, taxa double, note string")
     changed = change_from_previous_year(df, ["k"], "ano", "taxa", "delta")
     assert changed.columns == ["k", "ano", "taxa", "note", "delta"]
@@ -170,7 +172,8 @@ def test_change_skips_a_missing_year(spark, rows, capsys):
     ]
     null_value = df.withColumn("taxa", F.when(F.col("ano") != 2020, F.col("taxa")))
     again = change_from_previous_year(null_value, ["k"], "ano", "taxa", "delta")
-    assert rows(again.filter("k = 'a'"), "ano", "delta") == [(2020, None), (2021, None), (2023, None)]
+    of_a = rows(again.filter("k = 'a'"), "ano", "delta")
+    assert of_a == [(2020, None), (2021, None), (2023, None)]
 
 
 def test_shares_of_a_group_add_up(spark):

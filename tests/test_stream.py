@@ -9,6 +9,7 @@ from terrace.streaming.ingest import (
     drain,
     file_records,
     ingest_status,
+    kafka_records,
     read_ingested,
     read_rejected,
     start_ingest,
@@ -122,6 +123,11 @@ def test_label_must_read_back_as_text():
         batch_writer(SPEC, "e", "out", "007")
 
 
+def test_a_topic_needs_the_connector(spark):
+    with pytest.raises(Exception, match="kafka"):
+        kafka_records(spark, "host:9092", "students", records_per_batch=500)
+
+
 def test_start_status_stop(spark, tmp_path, published):
     query = start_ingest(
         file_records(spark, published), handler(tmp_path, "a"), str(tmp_path / "c"), "1 second"

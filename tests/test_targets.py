@@ -57,7 +57,8 @@ def test_status_order(spark):
 
 
 def test_slice_values_are_values(spark, rows):
-    df = spark.createDataFrame([(2024, "3", "O'Higgins"), (2023, "3", "x")], "ano int, rede string, nome_regiao string")
+    data = [(2024, "3", "O'Higgins"), (2023, "3", "x")]
+    df = spark.createDataFrame(data, "ano int, rede string, nome_regiao string")
     assert rows(apply_slice(df, Slice(region="O'Higgins")), "ano") == [(2024,)]
     assert apply_slice(df, Slice(region="x' OR '1'='1")).count() == 0
     assert apply_slice(df, Slice()) is df
