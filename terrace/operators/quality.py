@@ -97,7 +97,9 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def table_checks(df: DataFrame, contract: EntityContract) -> DataFrame:
-    """Expectations on one table: it has rows, a unique key, no critical nulls, no orphans.
+    """Expectations on one table: it has rows, a unique key, no orphans, no critical nulls.
+
+    Nulls in the data are a warning, everything else is an error of the run.
 
     The table is read once and reduced to one row per key before the figures are added
     up. An orphan is a row without the columns its dimension should have given it.
@@ -119,7 +121,10 @@ def table_checks(df: DataFrame, contract: EntityContract) -> DataFrame:
 
     def check(name: str, found: Column, passed: Column) -> Column:
         return F.struct(
-            F.lit(name).alias("check"), found.alias("found"), passed.alias("passed")
+            F.lit(name).alias("check"),
+            F.lit("warning" if name.startswith("nulls in") else "error").alias("level"),
+            found.alias("found"),
+            passed.alias("passed"),
         )
 
     checks = [

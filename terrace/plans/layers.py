@@ -200,9 +200,10 @@ def run_layers(
     contracts: Sequence[EntityContract] = L.CONTRACTS,
     dimensions: Mapping[str, Dimension] = L.DIMENSIONS,
     composites: Sequence[CompositeGroup] = L.COMPOSITES,
+    layers: Sequence[str] = (RAW, CONFORMED, ANALYTICAL),
     replace_all: bool = False,
 ) -> list[dict[str, object]]:
-    """Raw, conformed and analytical layer in order; the first failure ends the run.
+    """The chosen layers in their order; the first failure ends the run.
 
     Student records come in by stream beforehand. A second run replaces the partitions
     it writes and leaves the result as it was. A year that is gone from the sources stays
@@ -210,11 +211,16 @@ def run_layers(
     """
     run = run or Run()
     store = Store(spark, root)
-    reports = [ingest_entity(store, c, run, replace_all) for c in contracts if c.source_file]
-    tables = load_dimensions(store, dimensions)
-    conformed = [
-        conform_entity(store, c, dimensions, tables, run, replace_all) for c in contracts
-    ]
-    reports += [r for r in conformed if r is not None]
-    reports.append(build_analytical(store, run, contracts, composites, replace_all))
+    reports: list[dict[str, object]] = []
+    if RAW in layers:
+        files = [c for c in contracts if c.source_file]
+        reports += [ingest_entity(store, c, run, replace_all) for c in files]
+    if CONFORMED in layers:
+        tables = load_dimensions(store, dimensions)
+        figures = [
+            conform_entity(store, c, dimensions, tables, run, replace_all) for c in contracts
+        ]
+        reports += [r for r in figures if r is not None]
+    if ANALYTICAL in layers:
+        reports.append(build_analytical(store, run, contracts, composites, replace_all))
     return reports

@@ -547,7 +547,9 @@ UNION ALL SELECT 'events', count(*) FROM events""",
     "quality_checks": """
 WITH k AS (SELECT year(l_shipdate) AS y, l_orderkey, l_linenumber, count(*) AS n
            FROM lineitem GROUP BY ALL)
-SELECT 'avaliacao_alfabetizacao_aluno' AS entity, "check", found, passed FROM (
+SELECT 'avaliacao_alfabetizacao_aluno' AS entity, "check",
+       CASE WHEN "check" LIKE 'nulls%' THEN 'warning' ELSE 'error' END AS level,
+       found, passed FROM (
   SELECT 'has rows' AS "check", count(*) AS found, count(*) > 0 AS passed FROM lineitem
   UNION ALL SELECT 'repeated keys', CAST(count_if(n > 1) AS BIGINT), count_if(n > 1) = 0 FROM k
   UNION ALL SELECT unnest(['nulls in ano', 'nulls in id_aluno', 'nulls in alfabetizado',

@@ -281,13 +281,15 @@ def test_source_without_rows_counts_as_absent(spark, tmp_path):
 
 def test_a_year_that_is_gone_stays_unless_all_is_replaced(spark, rows, tmp_path):
     write_sources(tmp_path)
-    run_layers(spark, str(tmp_path), RUN)
-    for name, lines in FILES.items():
-        kept = [line for line in lines if not line.startswith("2023")]
-        (tmp_path / "arquivos" / name).write_text("\n".join(kept) + "\n", encoding="utf-8")
+    only = [c for c in L.CONTRACTS if c.name == L.STATE_RESULT]
+    chosen = {"contracts": only, "layers": ("bronze",)}
+    run_layers(spark, str(tmp_path), RUN, **chosen)
+    source = tmp_path / "arquivos" / only[0].source_file
+    kept = [line for line in FILES[only[0].source_file] if not line.startswith("2023")]
+    source.write_text("\n".join(kept) + "\n", encoding="utf-8")
     for replace_all, years in ((False, [(2023,), (2024,)]), (True, [(2024,)])):
-        run_layers(spark, str(tmp_path), RUN, replace_all=replace_all)
-        table = Store(spark, str(tmp_path)).read("gold", L.ANALYTICAL)
+        run_layers(spark, str(tmp_path), RUN, replace_all=replace_all, **chosen)
+        table = Store(spark, str(tmp_path)).read("bronze", L.STATE_RESULT)
         assert rows(table.select("ano").distinct()) == years
 
 

@@ -49,4 +49,6 @@ def test_checks(spark, rows):
         ("has rows", 4, True), ("nulls in taxa", 2, False), ("repeated keys", 2, False),
     ]
     empty = quality.table_checks(frame(spark).limit(0), contract)
-    assert rows(empty.filter("not passed"), "check") == [("has rows",)]
+    assert rows(empty.filter("not passed"), "check", "level") == [("has rows", "error")]
+    warnings = quality.table_checks(frame(spark), contract).filter("level = 'warning'")
+    assert rows(warnings, "check") == [("nulls in taxa",)]
