@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from terrace.plans import literacy as L
 from terrace.plans.layers import check_layers, register_layers, run_layers
-from terrace.sources.layers import Store
+from terrace.sources.layers import Store, write_layer
 from terrace.streaming.ingest import batch_writer, file_records, kafka_records, start_ingest
 
 
@@ -47,7 +47,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     stream.add_argument("--every", default="30 seconds", help="trigger interval")
     stream.add_argument("--drain", action="store_true", help="stop when all is ingested")
 
-    job("checks", "expectations on the tables; fails on an error, not on a warning")
+    job("checks", "store the expectations on the tables; fails on an error, not on a warning")
     register = job("register", "name the tables in the catalog")
     register.add_argument("--database", required=True, help="prefix of the database names")
     return parser.parse_args(argv)
@@ -77,8 +77,10 @@ def main(argv: Sequence[str] | None = None) -> int:
     elif args.job == "register":
         print("\n".join(register_layers(store, args.database)))
     else:
-        checks = check_layers(store)
-        checks.show(1000, truncate=False)
+        path = store.path("checks", "latest")
+        write_layer(check_layers(store), path, partition_by=(), replace_all=True)
+        checks = spark.read.parquet(path)
+        checks.orderBy("layer", "entity", "check").show(1000, truncate=False)
         return int(not checks.filter("level = 'error' and not passed").isEmpty())
     return 0
 
