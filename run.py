@@ -44,6 +44,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     stream.add_argument("--kafka", help="bootstrap servers")
     stream.add_argument("--topic")
     stream.add_argument("--records-per-batch", type=int)
+    stream.add_argument("--compact", action="store_true", help="few files per batch")
     stream.add_argument("--every", default="30 seconds", help="trigger interval")
     stream.add_argument("--drain", action="store_true", help="stop when all is ingested")
 
@@ -59,7 +60,7 @@ def stream(store: Store, args: argparse.Namespace) -> None:
     else:
         records = file_records(store.spark, args.records, args.files_per_batch)
     out = store.path("bronze", L.STUDENT)
-    handler = batch_writer(L.STUDENT_PAYLOAD, L.STUDENT, out, args.label)
+    handler = batch_writer(L.STUDENT_PAYLOAD, L.STUDENT, out, args.label, compact=args.compact)
     checkpoint = f"{store.root}/checkpoints/{L.STUDENT}/{args.label}"
     every = None if args.drain else args.every
     start_ingest(records, handler, checkpoint, every).awaitTermination()

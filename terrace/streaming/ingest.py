@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terrace.contracts import PayloadSpec
 from terrace.functions.lineage import Run, raw_lineage
-from terrace.sources.layers import read_if_present
+from terrace.sources.layers import read_if_present, write_layer
 from terrace.streaming.records import RECORD_SCHEMA, VALID, parse_records
 
 LAYOUT = ("run", "batch_id", "record_status", "raw_record")
@@ -49,11 +49,18 @@ def kafka_records(
 
 
 def batch_writer(
-    spec: PayloadSpec, entity: str, out: str, label: str, clock: Callable[[], Run] = Run
+    spec: PayloadSpec,
+    entity: str,
+    out: str,
+    label: str,
+    clock: Callable[[], Run] = Run,
+    compact: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """The handler of one micro-batch; an empty batch writes nothing.
 
     Valid and rejected records go out in one pass, as partitions of the batch.
+    ``compact`` shuffles the batch by partition first, for a stream of small batches
+    that would otherwise leave a file per task and year; a backlog does without.
     """
     if not re.fullmatch(r"[A-Za-z][\w-]*", label):
         raise ValueError("a run label starts with a letter, so that it is read back as text")
@@ -62,11 +69,12 @@ def batch_writer(
         if batch.isEmpty():
             return
         rows = raw_lineage(parse_records(batch, spec), clock(), entity, f"stream:{entity}")
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("record_status", spec.partition_by)
-            .parquet(f"{out}/run={label}/batch_id={batch_id}")
+        write_layer(
+            rows,
+            f"{out}/run={label}/batch_id={batch_id}",
+            partition_by=("record_status", spec.partition_by),
+            compact=compact,
+            replace_all=True,
         )
 
     return write

@@ -67,6 +67,16 @@ def test_bounded_batches_and_same_result_as_batch(spark, rows, tmp_path, publish
     assert rows(ingested, *COLUMNS) == expected
 
 
+def test_compact_batches_have_one_file_per_year(spark, rows, tmp_path, published):
+    for compact in (False, True):
+        write = batch_writer(SPEC, "e", str(tmp_path / f"{compact}"), "a", compact=compact)
+        write(spark.read.parquet(published).repartition(4), 0)
+    counts = [len(list((tmp_path / f"{c}").rglob("*.parquet"))) for c in (False, True)]
+    assert counts[0] > 2 and counts[1] == 2
+    plain, compacted = (read_ingested(spark, str(tmp_path / f"{c}")) for c in (False, True))
+    assert rows(plain, *COLUMNS) == rows(compacted, *COLUMNS)
+
+
 def test_same_checkpoint_goes_on_where_it_stopped(spark, tmp_path, published):
     run = lambda: drain(
         file_records(spark, published), handler(tmp_path, "a"), str(tmp_path / "c")
