@@ -30,7 +30,7 @@ from terrace.llm.common import fold, stored
 
 ORDER, FOLDS = 2, 10
 #: Characters of a chunk and of the texts behind a shard, about.
-CHUNK_CHARS, SHARD_CHARS = 6_000_000, 12_000_000
+CHUNK_CHARS, SHARD_CHARS = 5_000_000, 6_000_000
 #: Roles of a document: scored only, held out for the weights, counted.
 SCORED, HELD, COUNTED = 0, 1, 2
 #: Steps to the power of two in which ratios of estimates enter the weights' fit.
@@ -67,17 +67,21 @@ class Grams:
 def grams(texts: pa.ChunkedArray | pa.Array, order: int) -> Grams:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    raw = [(t or b"").lower().split() for t in texts.cast(pa.large_binary()).to_pylist()]
-    sizes = np.array([len(words) for words in raw], np.int64)
     distinct: dict[bytes, int] = {}
-    index = [distinct.setdefault(w, len(distinct)) for words in raw for w in words]
+    places = []
+    for start in range(0, len(texts), 64):
+        for text in texts.slice(start, 64).cast(pa.binary()).to_pylist():
+            words = (text or b"").lower().split()
+            index = (distinct.setdefault(w, len(distinct)) for w in words)
+            places.append(np.fromiter(index, np.int32, len(words)))
+    sizes = np.array([len(own) for own in places], np.int64)
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in distinct] or [0], np.uint64) | _ONE
     first = np.concatenate([[0], np.cumsum(sizes + 2)])
     tokens = np.empty(first[-1], np.uint64)
     inner = np.ones(first[-1], bool)
     inner[first[:-1]] = False
     inner[first[1:] - 1] = False
-    tokens[inner] = hashes[np.array(index, np.int64)]
+    tokens[inner] = hashes[np.concatenate([*places, np.zeros(0, np.int32)])]
     tokens[first[1:] - 1] = np.uint64(END | 1)
     tokens[first[:-1]] = np.uint64(START & ~1)
     layers, below = [tokens], tokens
@@ -128,7 +132,9 @@ def requests(chunked: DataFrame, order: int, shards: int) -> DataFrame:
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    """Per request the counts in ``rest`` (counted documents only) and ``all`` training ones.
+    """Per request the counts in ``all`` training documents, and in ``rest``, the counted ones.
+
+    ``rest`` is empty for requests of documents that are not held out.
 
     One more row a shard, of chunk -1, has in ``sizes`` the tokens and their types, of the
     counted documents and of all training ones.
@@ -145,18 +151,21 @@ def answers(asked: DataFrame) -> DataFrame:
         token = (distinct & _ONE) == 1
         lengths = pc.list_value_length(keys).to_numpy()
         offsets = pa.array(np.append(np.append(0, np.cumsum(lengths)), len(flat)).astype(np.int32))
-        lists = [
-            pa.ListArray.from_arrays(offsets, pa.array(x[inverse].astype(np.int32)))
-            for x in (rest, both)
-        ]
         n = len(lengths)
+        answer = pa.ListArray.from_arrays(offsets, pa.array(both[inverse].astype(np.int32)))
+        # Only what is held out is ever estimated without itself.
+        held = table["role"].to_numpy() == HELD
+        own = np.where(held, lengths, 0)
+        part = rest[inverse[np.repeat(held, lengths)]].astype(np.int32)
+        ends = np.append(np.append(0, np.cumsum(own)), len(part)).astype(np.int32)
+        without = pa.ListArray.from_arrays(pa.array(ends), pa.array(part))
         sizes = [f(x[token]) for x in (rest, both) for f in (np.sum, np.count_nonzero)]
         return pa.table(
             {
                 "shard": pa.array([table["shard"][0].as_py()] * (n + 1), pa.int32()),
                 "chunk": pa.array(np.append(table["chunk"].to_numpy(), -1), pa.int64()),
-                "rest": lists[0],
-                "all": lists[1],
+                "rest": without,
+                "all": answer,
                 "sizes": pa.array([None] * n + [[int(x) for x in sizes]], pa.list_(pa.int64())),
             }
         )
