@@ -179,6 +179,8 @@ def fit(
     sample = sampled(training, "lang", sample_rows, seed).select("lang", "text", "draw")
     rows = sample.mapInArrow(featurise, schema).toArrow()  # at most sample_rows
     labels = rows.column("lang").to_pylist()
+    if not labels:
+        return LanguageModel([], idf, np.zeros((1 << BITS, 0)), 1.0)
     order = sorted(range(len(labels)), key=lambda i: (rows["draw"][i].as_py(), labels[i]))
     languages = sorted(set(labels))
     place = {lang: i for i, lang in enumerate(languages)}
