@@ -25,7 +25,7 @@ from terrace.llm.common import stored
 #: Slots of a period, the power of a source's size that is its weight, characters a block.
 PERIOD, POWER, BLOCK_CHARS = 1000, 0.5, 20_000
 #: Documents of a bucket, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 SEED = 17
 
 
