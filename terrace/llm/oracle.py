@@ -1 +1,61 @@
-ORACLE: dict[str, str] = {}
+"""SQL counterparts of the corpus queries that DuckDB can express.
+
+The others rest on a trained model, a schedule, a tokenizer or reachability; tests hold
+them against plain Python.
+"""
+
+from __future__ import annotations
+
+_SPACE = r"\x20\x09-\x0D"
+
+ORACLE: dict[str, str] = {
+    "op8_line_dedup": rf"""
+WITH lines AS (
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS place
+  FROM documents
+), keyed AS (
+  SELECT *, regexp_replace(line, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g') AS k FROM lines
+), shared AS (
+  SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= 10
+), marked AS (
+  SELECT doc_id, place, line, k IN (SELECT k FROM shared) AS gone FROM keyed
+)
+SELECT d.doc_id,
+       CASE WHEN d.text IS NOT NULL THEN coalesce(m.kept, '') END AS text,
+       CAST(coalesce(m.n_lines, 0) AS INTEGER) AS n_lines,
+       CAST(coalesce(m.n_removed, 0) AS INTEGER) AS n_removed
+FROM documents d LEFT JOIN (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+         string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone) AS kept
+  FROM marked GROUP BY doc_id
+) m USING (doc_id)""",
+    "op2_decontamination": r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+         array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM item, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0
+), doc_windows AS (
+  SELECT doc_id, i, s.n, array_to_string(w[i:i + s.n - 1], ' ') AS win
+  FROM doc, (SELECT DISTINCT n FROM item_windows) s, unnest(range(1, len(w) - s.n + 2)) AS r(i)
+), hits AS (
+  SELECT DISTINCT doc_id, i, d.n, item_id
+  FROM doc_windows d JOIN item_windows b ON d.win = b.win AND d.n = b.n
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT doc_id, i, n FROM hits) h, unnest(range(i, i + n)) AS r(p) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
