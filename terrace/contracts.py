@@ -47,7 +47,6 @@ class Dimension:
     key: str
     columns: tuple[tuple[str, str], ...]
     source_file: str | None = None
-    max_broadcast_rows: int = 200_000
 
 
 @dataclass(frozen=True)

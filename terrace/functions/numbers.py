@@ -1,8 +1,10 @@
 """Exact arithmetic for rates and means.
 
-Sums of doubles depend on the order in which tasks finish. Measures are therefore
-summed in whole millionths, and quotients are rounded half up from the exact sums, so
-that a result is the same whatever the number of partitions. The sums are decimals of
+Sums of doubles depend on the order in which tasks finish. Measures of six decimals or
+fewer are therefore summed in whole millionths, and quotients are rounded half up from
+the exact sums, so that a result is the same whatever the number of partitions. Where a
+group has a value with more decimals, or one beyond 9e12, its mean is that of the doubles:
+no value is rounded before it is summed, and none is left out. The sums are decimals of
 29 and 38 digits, which no number of rows overflows; they start from bigints, since
 turning a double into a decimal for every row would cost more than the sum itself.
 """
@@ -26,6 +28,19 @@ def _units(measure: Column) -> Column:
     return millionths(measure).cast("decimal(19,0)")
 
 
+def finite(measure: Column) -> Column:
+    """The measure as double, null if it is no finite number."""
+    value = measure.cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
+
+
+def inexact(measure: Column, places: int = PLACES, most: float = 9e12) -> Column:
+    """True for a finite value with more decimals, or beyond ``most``: its sums are doubles'."""
+    value, scale = finite(measure), F.lit(float(10**places))
+    exact = (F.abs(value) <= most) & (F.rint(value * scale) / scale == value)
+    return value.isNotNull() & ~exact
+
+
 def exact_sum(measure: Column) -> Column:
     """Aggregate: sum to six decimals."""
     return F.sum(_units(measure)) * F.lit(Decimal(1).scaleb(-PLACES))
@@ -54,8 +69,13 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
 
 
 def exact_mean(measure: Column, places: int = 2) -> Column:
-    """Aggregate: mean of the non-null values, rounded half up."""
-    return half_up_quotient(exact_sum(measure), F.count(millionths(measure)), places)
+    """Aggregate: mean of the finite values, rounded half up.
+
+    With a value that is not exact in millionths it is the mean of doubles.
+    """
+    exact = half_up_quotient(exact_sum(measure), F.count(finite(measure)), places)
+    as_doubles = F.round(F.avg(finite(measure)), places)
+    return F.when(F.count_if(inexact(measure)) == 0, exact).otherwise(as_doubles)
 
 
 def bin_start(value: Column, width: int) -> Column:

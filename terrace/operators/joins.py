@@ -10,15 +10,6 @@ from pyspark.sql import functions as F
 from terrace.contracts import Dimension
 
 
-def within_broadcast_bound(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark a table for broadcast if it has at most ``max_rows`` rows, else leave it alone.
-
-    The check reads at most ``max_rows + 1`` rows. Above the bound the planner chooses,
-    with statistics and adaptive execution, and a hot key is split by the skew join.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def add_dimension(
     df: DataFrame, dimension: Dimension | None, tables: Mapping[str, DataFrame]
 ) -> DataFrame:

@@ -12,8 +12,9 @@ from terrace.functions.numbers import (
     exact_mean,
     exact_sum,
     exact_sum_of_products,
+    finite,
     half_up_quotient,
-    millionths,
+    inexact,
     percent,
 )
 
@@ -25,18 +26,26 @@ SUMS = (
     "n_proficiencia",
     "soma_proficiencia_peso",
     "soma_peso",
+    "n_inexatos",
+    "dupla_proficiencia",
+    "dupla_proficiencia_peso",
+    "dupla_peso",
 )
 
 
 def group_sums(facts: DataFrame, columns: MetricColumns) -> DataFrame:
-    """Mergeable sums per group and network: counts and exact decimal sums.
+    """Mergeable sums per group and network: counts, exact decimal sums and sums of doubles.
 
     Success counts among those present only. A weight counts where there is a score.
+    ``n_inexatos`` counts the rows that the decimal sums do not hold exactly: scores with
+    more than four decimals, weights with more than two, and very large ones.
     """
     present = F.col(columns.present)
     score = F.col(columns.score)
     weight = F.col(columns.weight)
-    scored = millionths(score).isNotNull()
+    scored = finite(score).isNotNull()
+    weighed = F.when(scored, finite(weight))
+    beyond = inexact(score, 4, 1e9) | F.coalesce(inexact(weighed, 2, 1e9), F.lit(False))
     return facts.groupBy(*columns.groups, columns.network).agg(
         F.count(F.lit(1)).alias("alunos_total"),
         F.sum(present).cast("bigint").alias("alunos_presentes"),
@@ -46,7 +55,11 @@ def group_sums(facts: DataFrame, columns: MetricColumns) -> DataFrame:
         exact_sum(score).alias("soma_proficiencia"),
         F.count_if(scored).alias("n_proficiencia"),
         exact_sum_of_products(score, weight).alias("soma_proficiencia_peso"),
-        exact_sum(F.when(scored, weight)).alias("soma_peso"),
+        exact_sum(weighed).alias("soma_peso"),
+        F.count_if(beyond).alias("n_inexatos"),
+        F.sum(finite(score)).alias("dupla_proficiencia"),
+        F.sum(finite(score) * weighed).alias("dupla_proficiencia_peso"),
+        F.sum(weighed).alias("dupla_peso"),
     )
 
 
@@ -86,6 +99,13 @@ def with_composites(
     )
 
 
+def _mean(total: str, whole: str, whole_as_double: str) -> Column:
+    """From the decimal sums where they are exact, else from those of doubles."""
+    exact = half_up_quotient(F.col(f"soma_{total}"), F.col(whole))
+    parts = F.col(f"dupla_{total}") / F.when(F.col(whole_as_double) > 0, F.col(whole_as_double))
+    return F.when(F.col("n_inexatos") == 0, exact).otherwise(F.round(parts, 2))
+
+
 def rates_and_means(sums: DataFrame) -> DataFrame:
     """Attendance and success percentages, mean and weighted mean, after the last sum."""
     return sums.withColumns(
@@ -94,12 +114,8 @@ def rates_and_means(sums: DataFrame) -> DataFrame:
             "taxa_alfabetizacao_observada": percent(
                 F.col("alunos_alfabetizados"), F.col("alunos_presentes")
             ),
-            "proficiencia_media": half_up_quotient(
-                F.col("soma_proficiencia"), F.col("n_proficiencia")
-            ),
-            "proficiencia_media_ponderada": half_up_quotient(
-                F.col("soma_proficiencia_peso"), F.col("soma_peso")
-            ),
+            "proficiencia_media": _mean("proficiencia", "n_proficiencia", "n_proficiencia"),
+            "proficiencia_media_ponderada": _mean("proficiencia_peso", "soma_peso", "dupla_peso"),
         }
     )
 
@@ -109,7 +125,7 @@ def student_metrics(
 ) -> DataFrame:
     """All metrics per group, for the networks in the data and the composites over them."""
     return rates_and_means(with_composites(group_sums(facts, columns), columns, composites)).drop(
-        "soma_proficiencia", "n_proficiencia", "soma_proficiencia_peso", "soma_peso"
+        *SUMS[3:]
     )
 
 

@@ -267,7 +267,7 @@ def enrich_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = joins.within_broadcast_bound(star.places(spark, sf_dir), 200_000)
+    places = star.places(spark, sf_dir)
     dimension = Dimension("places", "id_municipio", ())
     lines = star.students(spark, sf_dir).select(
         "ano", "id_municipio", "id_aluno", "id_escola", "alfabetizado"
@@ -296,7 +296,8 @@ def metrics_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sums_as_double(sums: DataFrame) -> DataFrame:
     decimal_sums = ("soma_proficiencia", "soma_proficiencia_peso", "soma_peso")
-    return sums.withColumns({c: F.col(c).cast("double") for c in decimal_sums})
+    merged = sums.drop(*[c for c in metrics.SUMS if c.startswith("dupla_")], "n_inexatos")
+    return merged.withColumns({c: F.col(c).cast("double") for c in decimal_sums})
 
 
 def metrics_composite(spark: SparkSession, sf_dir: str) -> DataFrame:

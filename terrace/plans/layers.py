@@ -13,7 +13,7 @@ from terrace.contracts import CompositeGroup, Dimension, EntityContract
 from terrace.functions.lineage import Run, analytical_lineage, conformed_lineage, raw_lineage
 from terrace.operators.clean import blanks_to_null, cast_by_contract, decode, standard_names
 from terrace.operators.dedup import deduplicate
-from terrace.operators.joins import add_dimension, within_broadcast_bound
+from terrace.operators.joins import add_dimension
 from terrace.operators.quality import table_checks
 from terrace.plans import literacy as L
 from terrace.plans.analytical import analytical_table
@@ -148,7 +148,10 @@ def build_analytical(
 
 
 def check_layers(store: Store, contracts: Sequence[EntityContract] = L.CONTRACTS) -> DataFrame:
-    """Expectations on all conformed tables and the analytical one, one row per check."""
+    """Expectations on all conformed tables and the analytical one, one row per check.
+
+    An absent table is a row "present": an error if the layers need it, else a warning.
+    """
     analytical = EntityContract(
         name=L.ANALYTICAL,
         keys=("ano", "id_municipio", "serie", "rede"),
@@ -158,7 +161,18 @@ def check_layers(store: Store, contracts: Sequence[EntityContract] = L.CONTRACTS
     checks = []
     for layer, contract in [(CONFORMED, c) for c in contracts] + [(ANALYTICAL, analytical)]:
         table = store.read_if_present(layer, contract.name)
-        if table is not None:
+        if table is None:
+            needed = layer == ANALYTICAL or contract.name in L.REQUIRED
+            level = "error" if needed else "warning"
+            absent = (contract.name, "present", level, 0, False, layer)
+            checks.append(
+                store.spark.createDataFrame(
+                    [absent],
+                    "entity string, check string, level string, found bigint, passed boolean,"
+                    " layer string",
+                )
+            )
+        else:
             checks.append(table_checks(table, contract).withColumn("layer", F.lit(layer)))
     return reduce(DataFrame.unionByName, checks)
 
@@ -183,12 +197,9 @@ def register_layers(
 def load_dimensions(
     store: Store, dimensions: Mapping[str, Dimension] = L.DIMENSIONS
 ) -> dict[str, DataFrame]:
-    """Dimension tables, marked for broadcast where their size allows it."""
+    """Dimension tables; the planner chooses how they are joined."""
     return {
-        name: within_broadcast_bound(
-            read_dimension(store.spark, store.path(SOURCE, d.source_file), d),
-            d.max_broadcast_rows,
-        )
+        name: read_dimension(store.spark, store.path(SOURCE, d.source_file), d)
         for name, d in dimensions.items()
     }
 

@@ -98,7 +98,6 @@ STATES = Dimension(
     "sigla_uf",
     (("sigla", "sigla_uf"), ("nome", "nome_uf"), ("regiao", "nome_regiao")),
     source_file="br_bd_diretorios_brasil_uf.csv",
-    max_broadcast_rows=1_000,
 )
 MUNICIPALITIES = Dimension(
     "municipio",
@@ -111,7 +110,6 @@ MUNICIPALITIES = Dimension(
         ("nome_regiao", "nome_regiao"),
     ),
     source_file="br_bd_diretorios_brasil_municipio.csv",
-    max_broadcast_rows=50_000,
 )
 DIMENSIONS = {d.name: d for d in (STATES, MUNICIPALITIES)}
 

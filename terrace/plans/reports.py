@@ -173,7 +173,7 @@ def student_kpis(table: DataFrame, wanted: Slice, cut: float = CUT_SCORE) -> Dat
     )
 
 
-def attendance_and_rate(table: DataFrame, wanted: Slice, limit: int | None = 6000) -> DataFrame:
+def attendance_and_rate(table: DataFrame, wanted: Slice, limit: int | None = None) -> DataFrame:
     """One point per row with student data: attendance against observed rate."""
     points = (
         apply_slice(table, wanted)
@@ -241,7 +241,7 @@ taxa_alfabetizacao_uf taxa_alfabetizacao_brasil_oficial
 
 
 def detail(
-    table: DataFrame, wanted: Slice, search: str = "", limit: int | None = 5000
+    table: DataFrame, wanted: Slice, search: str = "", limit: int | None = None
 ) -> DataFrame:
     """Municipality by municipality, highest rate first, optionally searched by name."""
     rows = apply_slice(table, wanted)

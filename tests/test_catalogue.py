@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from terrace.plans.catalogue import QUERIES
+from terrace.plans.oracle import ORACLE
 
 DATA = "/root/testdata/sf0.001"
 TYPES = {
@@ -32,13 +33,13 @@ def engine():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, rows, engine, name):
-    df = entry.queries()[name](spark, DATA)
-    result = engine.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, DATA)
+    result = engine.execute(ORACLE[name])
     types = {column[0]: str(column[1]) for column in result.description}
     assert {c: TYPES[t] for c, t in df.dtypes} == types
     columns = sorted(df.columns)

@@ -7,7 +7,6 @@ from terrace.operators.joins import (
     add_dimension,
     join_coverage,
     orphans,
-    within_broadcast_bound,
 )
 from terrace.sources.dimensions import conform_dimension
 
@@ -36,17 +35,6 @@ def test_unmatched_rows_stay(spark, rows):
     assert add_dimension(fact.drop("id"), PLACES, {"places": dim}).columns == ["v"]
 
 
-def test_broadcast_only_within_the_bound(spark, capsys):
-    fact, dim = spark.range(100), spark.range(50).withColumn("n", F.lit(1))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for bound, name in ((50, "BroadcastHashJoin"), (49, "SortMergeJoin")):
-            fact.join(within_broadcast_bound(dim, bound), "id", "left").explain()
-            assert name in capsys.readouterr().out
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_hot_key_is_split_beyond_the_broadcast_bound(spark, capsys):
     """A third of the rows has one key; the join must not leave them to one task."""
     settings = {

@@ -180,3 +180,19 @@ def test_shares_of_a_group_add_up(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 7)], "g string, n int")
     shares = share_of_group(df, ["g"], "n", "pct").groupBy("g").agg(F.sum("pct").alias("s"))
     assert {round(r["s"], 9) for r in shares.collect()} == {100.0}
+
+
+def test_small_weights_and_large_values_lose_nothing(spark, rows):
+    means = spark.createDataFrame([(1e13,), (1.0,)], "x double").agg(exact_mean(F.col("x")))
+    assert rows(means) == [(5_000_000_000_000.5,)]
+    for weights, mean in (((2.5e-7, 2.5e-7), 743.25), ((1e-6, 2.5e-6), 712.36)):
+        scores = (743.25, 743.25) if mean == 743.25 else (770.0, 689.304)
+        people = [
+            (2024, "m", "2", "2", 1, 1, s, w) for s, w in zip(scores, weights, strict=True)
+        ]
+        df = spark.createDataFrame(people, STUDENT)
+        found = student_metrics(df, L.STUDENT_METRICS)
+        assert rows(found, "proficiencia_media_ponderada") == [(mean,)]
+    huge = [(2024, "m", "2", "2", 1, 1, 9e15, 9e15)] * 2
+    found = student_metrics(spark.createDataFrame(huge, STUDENT), L.STUDENT_METRICS)
+    assert rows(found, "proficiencia_media_ponderada") == [(9e15,)]
