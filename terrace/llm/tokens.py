@@ -12,7 +12,10 @@ never touches the tokens.
 from __future__ import annotations
 
 import itertools
+import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -29,7 +32,7 @@ from terrace.sources.scratch import scratch_path
 END_ID = 0
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2000
 #: Distinct words whose ids a worker remembers; beyond that it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 def default_tokenizer() -> str:
@@ -38,20 +41,56 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: The character that stands for each byte in a byte-level vocabulary: itself where it is
+#: printable, else one of those from 256 on, in order.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+#: A blank that may belong to what precedes it: before white space, or at the end.
+_UNCERTAIN = r" (?:$|[\x09-\x0D\x1C-\x1F\x{85}]|\pZ)"
+_TAIL = ".,;:!?"
+#: Latin letters, perhaps after a blank and before punctuation.
+_PLAIN = re.compile(rf" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+[{_TAIL}]*")
+
+
+def _as_bytes(text: str) -> str:
+    if text.isascii():
+        return text.replace(" ", chr(_OTHERS[0x20]))  # letters and blanks only
+    return text.encode().decode("latin-1").translate(_OTHERS)
+
+
 class Encoder:
     """Ids of whole texts, each distinct word encoded once as long as it is remembered.
 
-    The byte-level tokenizer never joins a character to a blank that follows it, and a
-    blank before a character that is no white space begins a new piece. So a text may be
-    cut before every such blank: the ids of its parts are the ids of the text. Texts with
-    a blank before white space or at the end are encoded whole.
+    A byte-level tokenizer never joins a character to a blank that follows it, and a blank
+    before a character that is no white space begins a new piece. So a text may be cut
+    before every such blank: the ids of its parts are the ids of the text. Texts with a
+    blank before white space or at the end are encoded whole, and so are all texts if the
+    tokenizer is of another kind.
+
+    A part of letters only is one piece, which goes to the merges at once; punctuation
+    that ends a part is another piece. What is neither takes the tokenizer's whole way.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        before, model = parts.get("pre_tokenizer") or {}, parts["model"]
+        self.byte_level = (
+            model.get("type") == "BPE"
+            and before.get("type") == "ByteLevel"
+            and not (before.get("add_prefix_space") or parts.get("normalizer"))
+            and not (model.get("ignore_merges") or model.get("dropout"))
+        )
+        if self.byte_level:
+            merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+            # Words are remembered here, so the model need not keep them as well.
+            self.merge = models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0).tokenize
         self.remembered = remembered
         self.forget()
 
@@ -65,42 +104,60 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each part of a text, and all these ids; each has its blank before it."""
+        flat, sizes, merge = array("i"), array("q"), self.merge
+        rest = [w for w in words if _PLAIN.fullmatch(w) is None]
+        others = dict(zip(rest, self.whole(rest), strict=True))
+        for word in words:
+            ids = others.get(word)
+            if ids is None:
+                letters = word.rstrip(_TAIL)
+                known = self.place.get(letters)
+                if known is None:
+                    ids = [t.id for t in merge(_as_bytes(letters))]
+                else:
+                    start = self.starts[known]
+                    ids = self.ids[start : start + self.lengths[known]].tolist()
+                if len(letters) < len(word):
+                    ids += [t.id for t in merge(word[len(letters) :])]
+            flat.extend(ids)
+            sizes.append(len(ids))
+        return np.frombuffer(sizes, np.int64), np.frombuffer(flat, np.int32)
+
     def places(self, words: list[str]) -> np.ndarray:
         """Where the words' ids are kept; words that are new are encoded."""
-        new = [w for w in dict.fromkeys(words) if w not in self.place]
-        for at in range(0, len(new), 4096):
-            found = self.whole(new[at : at + 4096])
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(itertools.chain.from_iterable(found), np.int32, sizes.sum())
-            first, n = len(self.place), len(found)
-            while first + n > len(self.lengths):
-                self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.lengths[first : first + n] = sizes
-            self.starts[first : first + n] = self.used + np.cumsum(sizes) - sizes
-            self.ids[self.used : self.used + len(flat)] = flat
-            self.used += len(flat)
-            self.place.update(zip(new[at : at + 4096], range(first, first + n), strict=True))
-        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        place = self.place
+        new = [w for w in dict.fromkeys(words) if w not in place]
+        if not new:
+            return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        sizes, flat = self.words(new)
+        first, n = len(place), len(new)
+        while first + n > len(self.lengths):
+            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.lengths[first : first + n] = sizes
+        self.starts[first : first + n] = self.used + np.cumsum(sizes) - sizes
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+        place.update(zip(new, range(first, first + n), strict=True))
+        return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """The ids of every text and the end id; a null text has the end id only."""
         if len(self.place) > self.remembered:
             self.forget()
         texts = pc.fill_null(texts, "")
+        irregular = pc.match_substring_regex(texts, _UNCERTAIN).to_numpy(zero_copy_only=False)
+        if not self.byte_level:
+            irregular = np.ones(len(texts), bool)
         parts = pc.split_pattern(texts, " ")
         sizes = pc.list_value_length(parts).to_numpy()
         firsts = np.cumsum(sizes) - sizes
         flat = pc.list_flatten(parts)
-        # A part that is empty or begins with white space follows a blank that may belong to it.
-        odd = pc.match_substring_regex(flat, r"^(?:$|[\x09-\x0D\x1C-\x1F\x{85}]|\pZ)")
-        odd = odd.to_numpy(zero_copy_only=False)
-        odd[firsts] = False
         doc = np.repeat(np.arange(len(texts)), sizes)
-        irregular = np.zeros(len(texts), bool)
-        irregular[doc[odd]] = True
         coded = flat.dictionary_encode()
         index = coded.indices.to_numpy()
         later = np.ones(len(index), bool)
@@ -160,7 +217,7 @@ def encoded(docs: DataFrame, order: Sequence[Column], tokenizer: str | None = No
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done, tokens = TaskContext.get().partitionId(), 0, encoder(path)
-        for batch in slices(batches, 500):
+        for batch in slices(batches, 1500):
             ids = tokens.encode(batch.column("text"))
             n = pc.list_value_length(ids).to_numpy().astype(np.int64)
             starts = done + np.cumsum(n) - n
@@ -214,7 +271,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     sums = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return files.join(offsets, "part").select(
+    # A row a part, of which a job has as many as it has tasks; so the tokens stay in place.
+    return files.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("offset") + F.col("part_start")).alias("start"), "n_tokens", "ids"
     )
 
