@@ -11,11 +11,12 @@ never touches the tokens.
 
 from __future__ import annotations
 
+import codecs
 import itertools
 import json
 import re
+import string
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -31,7 +32,7 @@ from terrace.sources.scratch import scratch_path
 
 END_ID = 0
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2000
-#: Distinct words whose ids a worker remembers; beyond that it starts afresh.
+#: Distinct words whose ids a worker remembers; beyond that it keeps those met repeatedly.
 REMEMBERED = 300_000
 
 
@@ -45,19 +46,29 @@ def default_tokenizer() -> str:
 #: printable, else one of those from 256 on, in order.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _OTHERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BYTES = "".join(chr(_OTHERS.get(b, b)) for b in range(256))
 
 
-#: A blank that may belong to what precedes it: before white space, or at the end.
-_UNCERTAIN = r" (?:$|[\x09-\x0D\x1C-\x1F\x{85}]|\pZ)"
-_TAIL = ".,;:!?"
-#: Latin letters, perhaps after a blank and before punctuation.
-_PLAIN = re.compile(rf" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+[{_TAIL}]*")
+#: A blank that may belong to what precedes it: before white space, or at the end. A line
+#: break before white space other than a blank, which may belong to that.
+_UNCERTAIN = (
+    r" (?:$|[\x09-\x0D\x1C-\x1F\x{85}]|\pZ)"
+    r"|\n(?:[\x09-\x0D\x1C-\x1F\x{85}]|[^\PZ ])"
+)
+_TAIL = string.punctuation
+#: Latin letters beyond ASCII, among others.
+_LATIN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
 
 
-def _as_bytes(text: str) -> str:
-    if text.isascii():
-        return text.replace(" ", chr(_OTHERS[0x20]))  # letters and blanks only
-    return text.encode().decode("latin-1").translate(_OTHERS)
+def _is_plain(word: str) -> bool:
+    return word.isalpha() if word.isascii() else _LATIN.fullmatch(word) is not None
+
+
+def _room(values: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array, or a longer one that has room for more values after the used ones."""
+    if used + more <= len(values):
+        return values
+    return np.concatenate([values, np.zeros(max(more, len(values) // 2), values.dtype)])
 
 
 class Encoder:
@@ -65,9 +76,9 @@ class Encoder:
 
     A byte-level tokenizer never joins a character to a blank that follows it, and a blank
     before a character that is no white space begins a new piece. So a text may be cut
-    before every such blank: the ids of its parts are the ids of the text. Texts with a
-    blank before white space or at the end are encoded whole, and so are all texts if the
-    tokenizer is of another kind.
+    before every such blank: the ids of its parts are the ids of the text. The same holds
+    for a line break that no white space but a blank follows: it is a piece of its own.
+    Other texts are encoded whole, and so are all texts if the tokenizer is of another kind.
 
     A part of letters only is one piece, which goes to the merges at once; punctuation
     that ends a part is another piece. What is neither takes the tokenizer's whole way.
@@ -98,62 +109,106 @@ class Encoder:
         self.place: dict[str, int] = {}
         self.lengths = np.zeros(1024, np.int64)
         self.starts = np.zeros(1024, np.int64)
+        self.met = np.zeros(1024, np.int32)
         self.ids = np.zeros(4096, np.int32)
         self.used = 0
 
+    def forget_rare(self) -> None:
+        """Keep what was met more than once since the last time; nothing if that is most of it."""
+        n = len(self.place)
+        kept = np.flatnonzero(self.met[:n] > 1)
+        if len(kept) > self.remembered // 2:
+            return self.forget()
+        often = (self.met[:n] > 1).tolist()
+        words = list(itertools.compress(self.place, often))  # in the order of their places
+        lengths, starts, ids = self.lengths[kept], self.starts[kept], self.ids
+        self.forget()
+        sizes = np.cumsum(lengths) - lengths
+        self.used = int(lengths.sum())
+        self.ids = ids[np.repeat(starts - sizes, lengths) + np.arange(self.used)]
+        self.lengths, self.starts = lengths, sizes
+        self.met = np.zeros(len(kept), np.int32)
+        self.place = dict(zip(words, range(len(words)), strict=True))
+
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of ids of each part of a text, and all these ids; each has its blank before it."""
-        flat, sizes, merge = array("i"), array("q"), self.merge
-        rest = [w for w in words if _PLAIN.fullmatch(w) is None]
-        others = dict(zip(rest, self.whole(rest), strict=True))
-        for word in words:
-            ids = others.get(word)
+        """Number of ids of each part of a text, and all these ids.
+
+        A part begins with its blank or line break, if it has one.
+        """
+        merge, flat, sizes = self.merge, [], []
+        merged: dict[str, list[int]] = {}
+        rest: list[tuple[int, str]] = []
+        line = [t.id for t in merge(_BYTES[10])]
+        for part in words:
+            broken = part[0] == "\n" if part else False
+            word = part[1:] if broken else part
+            letters = word.rstrip(_TAIL)
+            ids = merged.get(letters)
             if ids is None:
-                letters = word.rstrip(_TAIL)
+                if not _is_plain(letters[1:] if letters[:1] == " " else letters):
+                    rest.append((len(sizes), part))
+                    sizes.append(0)
+                    continue
                 known = self.place.get(letters)
                 if known is None:
-                    ids = [t.id for t in merge(_as_bytes(letters))]
+                    coded, _ = codecs.charmap_decode(letters.encode(), "strict", _BYTES)
+                    ids = [t.id for t in merge(coded)]
                 else:
                     start = self.starts[known]
                     ids = self.ids[start : start + self.lengths[known]].tolist()
-                if len(letters) < len(word):
-                    ids += [t.id for t in merge(word[len(letters) :])]
-            flat.extend(ids)
+                merged[letters] = ids
+            if len(letters) < len(word):
+                tail = word[len(letters) :]
+                if tail not in merged:
+                    merged[tail] = [t.id for t in merge(tail)]
+                ids = ids + merged[tail]
+            if broken:
+                ids = line + ids
+            flat += ids
             sizes.append(len(ids))
-        return np.frombuffer(sizes, np.int64), np.frombuffer(flat, np.int32)
+        if not rest:
+            return np.array(sizes, np.int64), np.array(flat, np.int32)
+        others = self.whole([word for _, word in rest])
+        into = np.cumsum(sizes)[[i for i, _ in rest]]
+        added = [len(ids) for ids in others]
+        flat = np.insert(
+            np.array(flat, np.int32), np.repeat(into, added), list(itertools.chain(*others))
+        )
+        sizes = np.array(sizes, np.int64)
+        sizes[[i for i, _ in rest]] = added
+        return sizes, flat
 
     def places(self, words: list[str]) -> np.ndarray:
         """Where the words' ids are kept; words that are new are encoded."""
         place = self.place
         new = [w for w in dict.fromkeys(words) if w not in place]
-        if not new:
-            return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        sizes, flat = self.words(new)
-        first, n = len(place), len(new)
-        while first + n > len(self.lengths):
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.lengths[first : first + n] = sizes
-        self.starts[first : first + n] = self.used + np.cumsum(sizes) - sizes
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
-        place.update(zip(new, range(first, first + n), strict=True))
-        return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        if new:
+            sizes, flat = self.words(new)
+            first, n = len(place), len(new)
+            for name in ("lengths", "starts", "met"):
+                setattr(self, name, _room(getattr(self, name), first, n))
+            self.ids = _room(self.ids, self.used, len(flat))
+            self.lengths[first : first + n] = sizes
+            self.starts[first : first + n] = self.used + np.cumsum(sizes) - sizes
+            self.ids[self.used : self.used + len(flat)] = flat
+            self.used += len(flat)
+            place.update(zip(new, range(first, first + n), strict=True))
+        found = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        self.met[found] += 1
+        return found
 
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """The ids of every text and the end id; a null text has the end id only."""
         if len(self.place) > self.remembered:
-            self.forget()
+            self.forget_rare()
         texts = pc.fill_null(texts, "")
         irregular = pc.match_substring_regex(texts, _UNCERTAIN).to_numpy(zero_copy_only=False)
         if not self.byte_level:
             irregular = np.ones(len(texts), bool)
-        parts = pc.split_pattern(texts, " ")
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         sizes = pc.list_value_length(parts).to_numpy()
         firsts = np.cumsum(sizes) - sizes
         flat = pc.list_flatten(parts)
@@ -167,7 +222,7 @@ class Encoder:
         needed[index[later]] = True
         words = coded.dictionary.filter(pa.array(needed)).to_pylist()
         at = np.zeros(len(needed), np.int64)
-        at[needed] = self.places([" " + w for w in words])
+        at[needed] = self.places([w if w[:1] == "\n" else " " + w for w in words])
         place = at[index]
         regular = np.flatnonzero(~irregular)
         place[firsts[regular]] = self.places(flat.take(pa.array(firsts[regular])).to_pylist())
@@ -179,11 +234,15 @@ class Encoder:
         totals[rest] = [len(x) for x in own]
         offsets = np.append(0, np.cumsum(totals + 1))
         out = np.full(offsets[-1], END_ID, np.int32)
-        # Where each part's ids go: after the parts before it, and one end id for each text.
+        # The ids of all parts follow each other, but for the end ids and the texts encoded whole.
+        taken = np.zeros(len(out), bool)
+        taken[offsets[1:] - 1] = True
+        for i in rest:
+            taken[offsets[i] : offsets[i + 1]] = True
         before = np.cumsum(lengths) - lengths
-        into = offsets[doc] + before - before[firsts][doc]
-        steps = np.arange(lengths.sum()) - np.repeat(before, lengths)
-        out[np.repeat(into, lengths) + steps] = self.ids[np.repeat(self.starts[place], lengths) + steps]
+        at_ids = np.repeat(self.starts[place] - before, lengths)
+        at_ids += np.arange(len(at_ids))
+        out[~taken] = self.ids[at_ids]
         for i, ids in zip(rest, own, strict=True):
             out[offsets[i] : offsets[i] + len(ids)] = ids
         return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out))
