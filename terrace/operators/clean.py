@@ -53,16 +53,15 @@ def _as(column: Column, current: str, wanted: str) -> Column:
     return column.try_cast(wanted)
 
 
+def typed_value(column: str, kind: str) -> Column:
+    """Text as the type it arrives as; null if it is empty or does not fit."""
+    text = F.nullif(F.col(column), F.lit(""))
+    return whole_number(text) if kind == "int" else text.try_cast(kind)
+
+
 def type_payload(df: DataFrame, spec: PayloadSpec) -> DataFrame:
     """Arrival types of a streamed record: empty text is null, then the typed cast."""
-    return df.withColumns(
-        {
-            c: whole_number(F.nullif(F.col(c), F.lit("")))
-            if kind == "int"
-            else F.nullif(F.col(c), F.lit("")).try_cast(kind)
-            for c, kind in spec.typed
-        }
-    )
+    return df.withColumns({c: typed_value(c, kind) for c, kind in spec.typed})
 
 
 def decode(df: DataFrame, codes: CodeList) -> DataFrame:

@@ -19,14 +19,28 @@ from terrace.operators.dedup import dedup_audit, deduplicate
 from terrace.plans import literacy as L
 from terrace.plans import reports, star
 from terrace.plans.analytical import analytical_table, targets_for
-from terrace.plans.layers import run_layers
+from terrace.plans.layers import check_layers, run_layers
 from terrace.plans.star import load
 from terrace.sources.catalog import column_names, register
 from terrace.sources.csv import CORRUPT, entity_of_path, file_path, read_csv, valid_rows
 from terrace.sources.dimensions import conform_dimension
-from terrace.sources.layers import Store, export_csv, write_layer
+from terrace.sources.layers import (
+    MissingInput,
+    Store,
+    export_csv,
+    read_if_present,
+    write_layer,
+)
 from terrace.sources.scratch import scratch_path
-from terrace.streaming.ingest import batch_writer, drain, file_records, read_ingested
+from terrace.streaming.ingest import (
+    batch_writer,
+    drain,
+    file_records,
+    ingest_status,
+    read_ingested,
+    start_ingest,
+    stop_ingest,
+)
 from terrace.streaming.records import parse_records, publish, to_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,7 +129,7 @@ def store_unpartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_file_control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders grouped by year for the write; rows, and whether every file holds one year only."""
+    """Orders grouped by year for the write; rows, and how many files a year has."""
     path = scratch_path(spark, "orders")
     write_layer(dated_orders(spark, sf_dir), path, compact=True)
     per_file = (
@@ -127,7 +141,7 @@ def store_file_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_file.groupBy("ano").agg(
         F.sum("n").alias("n"),
         F.sum("k").alias("sum_orderkey"),
-        (F.count(F.lit(1)) <= F.sum("n") / 1000 + 1).alias("few_files"),
+        F.count(F.lit(1)).alias("files"),
     )
 
 
@@ -155,6 +169,21 @@ def store_optional_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytical_table(found, star.COMPOSITES)
 
 
+def store_required_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store without one of the required tables: the rows of the other, and the error."""
+    store = Store(spark, scratch_path(spark, "store"))
+    present, absent = L.REQUIRED
+    table = star.conformed(spark, sf_dir)[present]
+    write_layer(table, store.path("silver", present), compact=True)
+    message = "none"
+    try:
+        store.read_present("silver", (present, absent), L.REQUIRED)
+    except MissingInput as error:
+        message = str(error)
+    rows = store.read("silver", present).agg(F.count(F.lit(1)).alias("rows_present"))
+    return rows.withColumn("message", F.lit(message))
+
+
 def export_csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export")
     chosen = ("id_municipio", "serie", "rede_nome", "taxa_alfabetizacao_municipio")
@@ -389,6 +418,15 @@ def report(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(star.stored_unified(spark, sf_dir))
 
 
+def student_section_sizes(table: DataFrame) -> DataFrame:
+    """Rows of each report on students, and how many there are without student columns."""
+    plain = table.drop(*reports.STUDENT_COLUMNS)
+    sections = reports.student_section(table, WANTED)
+    return quality.row_counts(sections).withColumn(
+        "sections_without", F.lit(len(reports.student_section(plain, WANTED)))
+    )
+
+
 REPORTS: dict[str, Query] = {
     "report_years_networks": report(reports.years_and_networks),
     "report_territories": report(reports.territories),
@@ -407,6 +445,11 @@ REPORTS: dict[str, Query] = {
     "report_crosstab": report(lambda t: reports.status_crosstab(t, WANTED)),
     "report_diagnosis": report(lambda t: reports.below_target_diagnosis(t, WANTED)),
     "report_detail": report(lambda t: reports.detail(t, WANTED)),
+    "report_detail_limit": report(lambda t: reports.detail(t, WANTED, limit=5)),
+    "report_scatter_limit": report(
+        lambda t: reports.attendance_and_rate(t, Slice(year=YEAR), limit=7)
+    ),
+    "report_student_section": report(lambda t: student_section_sizes(t)),
     "report_detail_search": report(lambda t: reports.detail(t, WANTED, search="PPLIER#00000001")),
 }
 
@@ -463,10 +506,24 @@ def quality_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expectations on the line items as students: the key repeats, the rest holds."""
-    return quality.table_checks(
-        star.students(spark, sf_dir).withColumn("nome_uf", F.lit("all")), L.STUDENTS
+    """Expectations on the line items as students: keys repeat, and some places are unknown."""
+    known = star.places(spark, sf_dir).filter(F.col("number") < 20)
+    located = joins.add_dimension(
+        star.students(spark, sf_dir),
+        Dimension("places", "id_municipio", ()),
+        {"places": known.select("id_municipio", "nome_uf")},
     )
+    return quality.table_checks(located, L.STUDENTS)
+
+
+def quality_checks_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store with the municipal results only: what the checks say about the absent tables."""
+    store = Store(spark, scratch_path(spark, "store"))
+    table = star.conformed(spark, sf_dir)[L.MUNICIPAL_RESULT]
+    write_layer(table, store.path("silver", L.MUNICIPAL_RESULT), compact=True)
+    contracts = [c for c in star.CONTRACTS if c.name in L.REQUIRED or c.name == L.STUDENT]
+    found = check_layers(store, contracts).filter(F.col("check").isin("has rows", "present"))
+    return found.select("layer", "entity", "check", "level", "found", "passed")
 
 
 def _ingest_events(spark: SparkSession, root: str, published: str, label: str) -> None:
@@ -501,6 +558,61 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(ingested, ("ano", "event_id"), copies="copies")
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth value is no number and some years are none: these records are set aside."""
+    number = F.col("event_id").cast("bigint")
+    spoiled = event_rows(spark, sf_dir).withColumns(
+        {
+            "value": F.when(
+                (number % 10 == 0) & (F.col("value") != ""), F.concat(F.lit("x"), "value")
+            ).otherwise(F.col("value")),
+            "ano": F.when(number % 25 == 1, "20x4").otherwise(F.col("ano")),
+        }
+    )
+    root = scratch_path(spark, "stream")
+    publish(spoiled, "user_id", f"{root}/published", 5_000)
+    _ingest_events(spark, root, f"{root}/published", "first")
+    return spark.read.parquet(f"{root}/bronze").select(
+        "ano",
+        "event_id",
+        "value",
+        "record_status",
+        F.get_json_object("raw_record", "$.event_id").alias("raw_event_id"),
+    )
+
+
+def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty batch leaves nothing behind; the next one is written."""
+    root = scratch_path(spark, "stream")
+    records = spark.read.parquet(_published_events(spark, sf_dir, root))
+    write = batch_writer(EVENT_PAYLOAD, "events", f"{root}/bronze", "first", lambda: RUN)
+    write(records.limit(0), 0)
+    written = read_if_present(spark, f"{root}/bronze") is not None
+    write(records, 1)
+    per_year = read_ingested(spark, f"{root}/bronze").groupBy("ano")
+    return per_year.agg(F.count(F.lit(1)).alias("n")).withColumn("empty_written", F.lit(written))
+
+
+def stream_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream on an interval: started, asked for its state, stopped; rows ingested by year."""
+    root = scratch_path(spark, "stream")
+    records = file_records(spark, _published_events(spark, sf_dir, root))
+    write = batch_writer(EVENT_PAYLOAD, "events", f"{root}/bronze", "first", lambda: RUN)
+    running = start_ingest(records, write, f"{root}/checkpoint", every="1 second")
+    try:
+        running.processAllAvailable()
+        before = ingest_status(running)["active"]
+    finally:
+        stop_ingest(running)
+    per_year = read_ingested(spark, f"{root}/bronze").groupBy("ano")
+    return per_year.agg(F.count(F.lit(1)).alias("n")).withColumns(
+        {
+            "active_before": F.lit(before),
+            "active_after": F.lit(ingest_status(running)["active"]),
+        }
+    )
+
+
 def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source files and a stream through all layers; the analytical table as stored."""
     root = scratch_path(spark, "layers")
@@ -536,6 +648,7 @@ QUERIES: dict[str, Query] = {
     "store_file_control": store_file_control,
     "store_catalog": store_catalog,
     "store_optional_inputs": store_optional_inputs,
+    "store_required_input": store_required_input,
     "export_csv": export_csv_report,
     "clean_names": clean_names,
     "clean_empty_to_null": clean_empty_to_null,
@@ -572,7 +685,11 @@ QUERIES: dict[str, Query] = {
     "quality_status_by_year": quality_status_by_year,
     "quality_row_counts": quality_row_counts,
     "quality_checks": quality_checks,
+    "quality_checks_absent": quality_checks_absent,
     "stream_ingest": stream_ingest,
     "stream_replay": stream_replay,
+    "stream_quarantine": stream_quarantine,
+    "stream_empty_batch": stream_empty_batch,
+    "stream_lifecycle": stream_lifecycle,
     "layered_run": layered_run,
 }

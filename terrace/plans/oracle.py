@@ -254,7 +254,7 @@ SELECT id_municipio, nome_municipio, sigla_uf, nome_regiao, rede_nome,
        media_portugues_municipio, percentual_participacao_municipio, taxa_alfabetizacao_uf,
        taxa_alfabetizacao_brasil_oficial
 FROM gold WHERE {where}
-ORDER BY taxa_alfabetizacao_municipio DESC NULLS LAST, id_municipio, ano, serie, rede LIMIT 5000"""
+ORDER BY taxa_alfabetizacao_municipio DESC NULLS LAST, id_municipio, ano, serie, rede"""
 
 GRAIN = "ano, id_municipio, serie, rede"
 ORDER_YEAR = "CAST(year(o_orderdate) AS INTEGER)"
@@ -290,7 +290,7 @@ SELECT o_orderkey, CASE WHEN {ORDER_YEAR} = 1997 THEN 'X' ELSE o_orderstatus END
     "store_unpartitioned": "SELECT * FROM customer",
     "store_file_control": f"""
 SELECT {ORDER_YEAR} AS ano, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS sum_orderkey,
-       true AS few_files FROM orders GROUP BY 1""",
+       CAST(1 AS BIGINT) AS files FROM orders GROUP BY 1""",
     "store_catalog": f"""
 SELECT {ORDER_YEAR} AS ano, count(*) AS n,
        'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority,ano'
@@ -552,8 +552,59 @@ SELECT 'avaliacao_alfabetizacao_aluno' AS entity, "check",
        found, passed FROM (
   SELECT 'has rows' AS "check", count(*) AS found, count(*) > 0 AS passed FROM lineitem
   UNION ALL SELECT 'repeated keys', CAST(count_if(n > 1) AS BIGINT), count_if(n > 1) = 0 FROM k
-  UNION ALL SELECT unnest(['nulls in ano', 'nulls in id_aluno', 'nulls in alfabetizado',
-                           'rows without municipio']), 0, true)""",
+  UNION ALL SELECT 'rows without municipio', count(*), count(*) = 0
+            FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+            WHERE s_nationkey IS NULL OR s_nationkey >= 20
+  UNION ALL SELECT unnest(['nulls in ano', 'nulls in id_aluno', 'nulls in alfabetizado']),
+                   0, true)""",
+    "quality_checks_absent": on_municipal(
+        """
+SELECT * FROM (
+  SELECT 'silver' AS layer, 'avaliacao_alfabetizacao_municipio' AS entity, 'has rows' AS "check",
+         'error' AS level, count(*) AS found, count(*) > 0 AS passed FROM municipal
+  UNION ALL SELECT 'silver', 'avaliacao_alfabetizacao_uf', 'present', 'error', 0, false
+  UNION ALL SELECT 'silver', 'avaliacao_alfabetizacao_aluno', 'present', 'warning', 0, false
+  UNION ALL SELECT 'gold', 'alfabetizacao_analise_output', 'present', 'error', 0, false)"""
+    ),
+    "store_required_input": on_municipal(
+        """
+SELECT count(*) AS rows_present,
+       'silver tables missing: avaliacao_alfabetizacao_uf' AS message FROM municipal"""
+    ),
+    "stream_quarantine": f"""
+WITH e AS (SELECT {EVENT_FIELDS}, event_id AS number FROM events),
+marked AS (
+  SELECT *, number % 10 = 0 AND value IS NOT NULL AS no_value, number % 25 = 1 AS no_year FROM e)
+SELECT CASE WHEN NOT no_year THEN ano END AS ano, event_id,
+       CASE WHEN NOT no_value THEN value END AS value,
+       CASE WHEN no_value OR no_year THEN 'rejected' ELSE 'valid' END AS record_status,
+       CASE WHEN no_value OR no_year THEN event_id END AS raw_event_id
+FROM marked""",
+    "stream_empty_batch": """
+SELECT CAST(year(ts) AS INTEGER) AS ano, count(*) AS n, false AS empty_written
+FROM events GROUP BY 1""",
+    "stream_lifecycle": """
+SELECT CAST(year(ts) AS INTEGER) AS ano, count(*) AS n, true AS active_before,
+       false AS active_after FROM events GROUP BY 1""",
+    "report_detail_limit": gold(DETAIL.format(where=SLICE) + " LIMIT 5"),
+    "report_scatter_limit": gold(
+        """
+SELECT nome_municipio, sigla_uf, proporcao_presenca, taxa_alfabetizacao_observada,
+       meta_atingida_municipio AS status_meta,
+       meta_atingida_presenca_municipio AS status_presenca
+FROM gold WHERE ano = 1997 AND proporcao_presenca IS NOT NULL
+ORDER BY id_municipio, serie, rede LIMIT 7"""
+    ),
+    "report_student_section": gold(
+        f"""
+, s AS (SELECT * FROM gold WHERE {SLICE})
+SELECT entity, rows, 0 AS sections_without FROM (
+  SELECT 'student_kpis' AS entity, CAST(1 AS BIGINT) AS rows
+  UNION ALL SELECT 'attendance_and_rate', count(proporcao_presenca) FROM s
+  UNION ALL SELECT 'status_crosstab', count(*) FROM (
+    SELECT DISTINCT meta_atingida_municipio, meta_atingida_presenca_municipio FROM s)
+  UNION ALL SELECT 'below_target_diagnosis', 3)"""
+    ),
     "stream_ingest": f"""
 SELECT {EVENT_FIELDS}, '20260102_030405' AS _ingestion_timestamp, 'events' AS _source_entity
 FROM events""",

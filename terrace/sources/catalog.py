@@ -13,12 +13,15 @@ def register(spark: SparkSession, database: str, layer: str, entity: str, path:
     """Register an external table ``<layer>_<entity>`` over the files and find its partitions.
 
     A table that is already there is registered anew, since its columns may have changed;
-    the files stay as they are.
+    the files stay as they are. One that is not external is an error: its files are its own.
     """
     name = f"{layer}_{entity}"
     full = quoted(database, name)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
     if spark.catalog.tableExists(full):
+        kind = spark.catalog.getTable(full).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{database}.{name} is not external but {kind}, left as it is")
         spark.sql(f"DROP TABLE {full}")
     spark.catalog.createTable(full, path=path, source="parquet")
     if any(column.isPartition for column in spark.catalog.listColumns(full)):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.contracts import PayloadSpec
-from terrace.operators.clean import type_payload
+from terrace.operators.clean import type_payload, typed_value
 
 RECORD_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("data", T.BinaryType())]
@@ -36,7 +36,9 @@ def parse_records(records: DataFrame, spec: PayloadSpec, data: str = "data") ->
     """Flatten and type the payload, and mark what is no record.
 
     ``record_status`` is ``rejected`` for text that is no JSON object or has none of the
-    fields; only then ``raw_record`` holds the text as it came.
+    fields, and where a typed field or the year has text that does not fit; only then
+    ``raw_record`` holds the text as it came. A year that does not fit is null, so that
+    the year of the stored table stays a number.
     """
     schema = spec.schema().add(CORRUPT, T.StringType())
     text = F.col(data).cast("string")
@@ -45,9 +47,21 @@ def parse_records(records: DataFrame, spec: PayloadSpec, data: str = "data") ->
         F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("payload"),
     ).select("payload.*", "raw_record")
     nothing = F.coalesce(*[F.col(c) for c in spec.fields]).isNull()
-    rejected = F.col(CORRUPT).isNotNull() | nothing
+    year = F.nullif(F.col(spec.partition_by), F.lit(""))
+    no_year = ~year.rlike("^[0-9]{1,4}$")
+    typed = dict(spec.typed)
+    misfits = [
+        F.nullif(F.col(c), F.lit("")).isNotNull() & typed_value(c, kind).isNull()
+        for c, kind in typed.items()
+    ]
+    rejected = F.col(CORRUPT).isNotNull() | nothing | F.coalesce(no_year, F.lit(False))
+    for misfit in misfits:
+        rejected = rejected | misfit
     marked = parsed.select(
-        *spec.fields,
+        *[
+            F.when(~no_year, year).alias(c) if c == spec.partition_by else F.col(c)
+            for c in spec.fields
+        ],
         F.when(rejected, F.col("raw_record")).alias("raw_record"),
         F.when(rejected, REJECTED).otherwise(VALID).alias("record_status"),
     )

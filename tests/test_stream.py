@@ -39,11 +39,22 @@ def test_parse(spark, rows):
     records = spark.createDataFrame([("k", bytearray(t, "utf-8")) for t in texts], RECORD_SCHEMA)
     parsed = parse_records(records, SPEC)
     valid = parsed.filter("record_status = 'valid'")
-    assert rows(valid, *COLUMNS, "raw_record") == [
-        ("2024", "1", None, None), ("2024", None, 1.5, None),
-    ]
+    assert rows(valid, *COLUMNS, "raw_record") == [("2024", None, 1.5, None)]
     rejected = parsed.filter("record_status = 'rejected'")
-    assert {r[0] for r in rows(rejected, "raw_record")} == {"{bad", "null", "", '{"other":1}', "[]"}
+    assert {r[0] for r in rows(rejected, "raw_record")} == {
+        "{bad", "null", "", '{"other":1}', "[]", '{"ano":"2024","id":"1","nota":"x"}',
+    }
+
+
+def test_fields_that_do_not_fit_are_rejected_with_their_text(spark, rows):
+    texts = ['{"ano":"20x4","id":"1","nota":"1"}', '{"ano":"2024","id":"2","nota":"7O0"}',
+             '{"ano":"","id":"3","nota":""}', '{"id":"4"}']
+    records = spark.createDataFrame([("k", bytearray(t, "utf-8")) for t in texts], RECORD_SCHEMA)
+    parsed = parse_records(records, SPEC)
+    assert rows(parsed, "id", "ano", "nota", "record_status", "raw_record") == [
+        ("1", None, 1.0, "rejected", texts[0]), ("2", "2024", None, "rejected", texts[1]),
+        ("3", None, None, "valid", None), ("4", None, None, "valid", None),
+    ]
 
 
 @pytest.fixture
