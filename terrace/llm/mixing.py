@@ -93,8 +93,11 @@ def scheduled(
     names = [c for c in docs.columns if c not in added]
     size = F.coalesce(F.char_length("text"), F.lit(0)).cast("bigint")
     draw = F.pmod(F.xxhash64(F.lit(SEED), F.col("doc_id"), F.col("text")), F.lit(1 << 40))
+    # Names of their own, so that none clashes and columns nobody asks for aren't shuffled.
+    kept = {f"row_{i}": F.col(f"`{c}`") for i, c in enumerate(names)}
     keyed = docs.select(
-        F.struct(*names).alias("row"), _key(source).alias("key"), size.alias("size"), draw.alias("draw")
+        *[c.alias(own) for own, c in kept.items()],
+        _key(source).alias("key"), size.alias("size"), draw.alias("draw"),
     )
     rows = docs.select(F.lit(1)).count()
     buckets = 1 + rows // bucket_rows
@@ -130,7 +133,7 @@ def scheduled(
     turn = F.floor(F.col("mix_block") / F.col("share"))
     slot = turn * total + F.get("slots", (F.col("mix_block") % F.col("share")).cast("int"))
     return placed.select(
-        *[F.col(f"row.{c}").alias(c) for c in names],
+        *[F.col(own).alias(c) for own, c in zip(kept, names, strict=True)],
         "mix_block",
         F.floor(F.col("mix_block") * total / F.col("share")).alias("mix_release"),
         F.ceil((F.col("mix_block") + 1) * total / F.col("share")).alias("mix_deadline"),
