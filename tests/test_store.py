@@ -165,3 +165,18 @@ def test_scratch_follows_the_session():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(session("spark://host:7077"), "x")
     assert "terrace-" in scratch_path(session("local[2]"), "x")
+
+
+def test_a_managed_table_is_left_as_it_is(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    spark.range(5).write.mode("overwrite").saveAsTable("kept.silver_t")
+    with pytest.raises(ValueError, match="not external"):
+        register(spark, "kept", "silver", "t", path)
+    assert spark.table("kept.silver_t").count() == 5
+    spark.sql("DROP TABLE kept.silver_t")
+    name = register(spark, "kept", "silver", "t", path)
+    assert register(spark, "kept", "silver", "t", path) == name
+    assert spark.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")
