@@ -121,12 +121,32 @@ def rates_and_means(sums: DataFrame) -> DataFrame:
 
 
 def student_metrics(
-    facts: DataFrame, columns: MetricColumns, composites: Sequence[CompositeGroup] = ()
+    facts: DataFrame,
+    columns: MetricColumns,
+    composites: Sequence[CompositeGroup] = (),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """All metrics per group, for the networks in the data and the composites over them."""
-    return rates_and_means(with_composites(group_sums(facts, columns), columns, composites)).drop(
-        *SUMS[3:]
-    )
+    """All metrics per group, for the networks in the data and the composites over them.
+
+    ``keep`` names sums to keep, as doubles, from which means over groups can be made.
+    """
+    metrics = rates_and_means(with_composites(group_sums(facts, columns), columns, composites))
+    kept = {
+        c: F.when(F.col("n_inexatos") == 0, F.col(c).cast("double")).otherwise(
+            F.col(c.replace("soma_", "dupla_"))
+        )
+        for c in keep
+    }
+    return metrics.withColumns(kept).drop(*[c for c in SUMS[3:] if c not in keep])
+
+
+def weighted_mean(total: str, weight: str, places: int = 2) -> Column:
+    """Aggregate: the weighted mean over groups, from their sums of products and of weights."""
+    exact = half_up_quotient(exact_sum(F.col(total)), exact_sum(F.col(weight)), places)
+    whole = F.sum(F.col(weight))
+    as_doubles = F.round(F.sum(F.col(total)) / F.when(whole > 0, whole), places)
+    beyond = F.coalesce(inexact(F.col(total)) | inexact(F.col(weight)), F.lit(False))
+    return F.when(F.count_if(beyond) == 0, exact).otherwise(as_doubles)
 
 
 def mean_of_groups(

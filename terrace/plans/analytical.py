@@ -65,7 +65,7 @@ def analytical_table(
 
     students = tables.get(L.STUDENT)
     if students is not None:
-        metrics = student_metrics(students, L.STUDENT_METRICS, composites)
+        metrics = student_metrics(students, L.STUDENT_METRICS, composites, L.SLICE_SUMS)
         table = table.join(metrics, on=list(GRAIN), how="left")
 
     state_grain = ("ano", "sigla_uf", "serie", "rede")
@@ -85,4 +85,4 @@ def analytical_table(
         table = add_columns(table, targets, ("ano", *place), entity)
 
     table = add_statuses(table, L.STATUSES)
-    return table.select([c for c in L.ANALYTICAL_COLUMNS if c in table.columns])
+    return table.select([c for c in (*L.ANALYTICAL_COLUMNS, *L.SLICE_SUMS) if c in table.columns])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from terrace.functions.numbers import exact_mean
 from terrace.functions.slices import apply_slice
 from terrace.functions.targets import gap_to_target, target_of_year, target_status
 from terrace.operators import clean, joins, metrics, quality
-from terrace.operators.dedup import dedup_audit, deduplicate
+from terrace.operators.dedup import dedup_audit, deduplicate, without_key
 from terrace.plans import literacy as L
 from terrace.plans import reports, star
 from terrace.plans.analytical import analytical_table, targets_for
@@ -272,6 +273,18 @@ def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(load(spark, sf_dir, "lineitem"), LINE_KEY, ("l_shipdate",), "copies")
 
 
+def dedup_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order number of every tenth order is lost: its lines are set aside and counted."""
+    lines = load(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") % 10 != 0, F.col("l_orderkey")).alias("l_orderkey"),
+        "l_linenumber",
+        "l_shipdate",
+    )
+    aside = without_key(lines, LINE_KEY).agg(F.count(F.lit(1)))
+    kept = deduplicate(lines, LINE_KEY, ("l_shipdate",), "copies")
+    return kept.withColumn("rows_without_key", aside.scalar())
+
+
 def dedup_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_audit(load(spark, sf_dir, "lineitem"), LINE_KEY)
 
@@ -355,6 +368,27 @@ def metrics_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics(spark, sf_dir, "proficiencia_media_ponderada")
 
 
+def _yearly(facts: DataFrame, measure: str) -> DataFrame:
+    columns = replace(L.STUDENT_METRICS, groups=("ano",))
+    return metrics.student_metrics(facts, columns, star.COMPOSITES).select("ano", "rede", measure)
+
+
+def metrics_weighted_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights as shares of the population, far below a millionth on a large table."""
+    people = load(spark, sf_dir, "lineitem").agg(F.count(F.lit(1))).scalar()
+    facts = star.students(spark, sf_dir)
+    shares = facts.withColumn("peso_aluno", F.col("peso_aluno") / people)
+    return _yearly(shares, "proficiencia_media_ponderada")
+
+
+def metrics_mean_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores beyond what millionths hold; the mean is given in billions."""
+    facts = star.students(spark, sf_dir)
+    large = facts.withColumn("proficiencia", F.col("proficiencia") * 1e9)
+    mean = F.round(F.col("proficiencia_media") / 1e9, 2).alias("mean_in_billions")
+    return _yearly(large, "proficiencia_media").select("ano", "rede", mean)
+
+
 def mean_of_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean per region and segment of the nations' mean balances."""
     located = load(spark, sf_dir, "customer").join(
@@ -630,13 +664,14 @@ def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         places.select(*[F.col(ours).alias(theirs) for theirs, ours in L.STATES.columns]),
         store.path("arquivos", L.STATES.source_file),
     )
-    publish(star.students(spark, sf_dir), "id_aluno", f"{root}/published", 50_000)
+    for _ in range(2):  # the second call finds all records there and writes none
+        publish(star.students(spark, sf_dir), "id_aluno", f"{root}/published", 50_000)
     handler = batch_writer(
         L.STUDENT_PAYLOAD, "students", store.path("bronze", L.STUDENT), "first", lambda: RUN
     )
     drain(file_records(spark, f"{root}/published"), handler, f"{root}/checkpoint")
     run_layers(spark, root, RUN, star.CONTRACTS, L.DIMENSIONS, star.COMPOSITES)
-    return store.read("gold", L.ANALYTICAL).select(*L.ANALYTICAL_COLUMNS)
+    return store.read("gold", L.ANALYTICAL).select(*L.ANALYTICAL_COLUMNS, *L.SLICE_SUMS)
 
 
 QUERIES: dict[str, Query] = {
@@ -657,6 +692,7 @@ QUERIES: dict[str, Query] = {
     "decode_codes": decode_codes,
     "json_payload": json_payload,
     "dedup_by_key": dedup_by_key,
+    "dedup_null_keys": dedup_null_keys,
     "dedup_audit": dedup_audit_query,
     "dim_load": dim_load,
     "enrich_state": enrich_state,
@@ -668,6 +704,8 @@ QUERIES: dict[str, Query] = {
     "metrics_ratios": metrics_ratios,
     "metrics_mean": metrics_mean,
     "metrics_weighted": metrics_weighted,
+    "metrics_weighted_small": metrics_weighted_small,
+    "metrics_mean_large": metrics_mean_large,
     "mean_of_groups": mean_of_groups,
     "target_of_year": target_of_year_query,
     "target_status": target_status_query,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from terrace.contracts import CompositeGroup, Dimension, EntityContract
 from terrace.functions.lineage import Run, analytical_lineage, conformed_lineage, raw_lineage
 from terrace.operators.clean import blanks_to_null, cast_by_contract, decode, standard_names
-from terrace.operators.dedup import deduplicate
+from terrace.operators.dedup import deduplicate, lacks_key, without_key
 from terrace.operators.joins import add_dimension
 from terrace.operators.quality import table_checks
 from terrace.plans import literacy as L
@@ -65,6 +65,14 @@ def ingest_entity(
     return report
 
 
+def clean_rows(raw: DataFrame, contract: EntityContract) -> DataFrame:
+    """Names, blanks, types and codes by the contract; a projection."""
+    table = cast_by_contract(blanks_to_null(standard_names(raw)), contract)
+    for codes in contract.codes:
+        table = decode(table, codes)
+    return table
+
+
 def conform(
     raw: DataFrame,
     contract: EntityContract,
@@ -72,13 +80,15 @@ def conform(
     dimension_tables: Mapping[str, DataFrame],
     run: Run,
     copies: str | None = None,
+    keyless: Observation | None = None,
 ) -> DataFrame:
-    """All cleaning steps of the contract, as one plan with a single shuffle (the key)."""
-    table = standard_names(raw)
-    table = blanks_to_null(table)
-    table = cast_by_contract(table, contract)
-    for codes in contract.codes:
-        table = decode(table, codes)
+    """All cleaning steps of the contract, as one plan with a single shuffle (the key).
+
+    Rows with a null in the key are left out; ``keyless`` counts them as ``n``.
+    """
+    table = clean_rows(raw, contract)
+    if keyless:
+        table = table.observe(keyless, F.count_if(lacks_key(table, contract.keys)).alias("n"))
     table = deduplicate(table, contract.keys, ("_ingestion_timestamp",), copies)
     table = add_dimension(table, dimensions.get(contract.dimension), dimension_tables)
     return conformed_lineage(table, run, contract.name)
@@ -99,12 +109,17 @@ def conform_entity(
     run: Run,
     replace_all: bool = False,
 ) -> dict[str, object] | None:
-    """Raw to conformed layer, with the quality figures taken by the write itself."""
+    """Raw to conformed layer, with the quality figures taken by the write itself.
+
+    Rows with a null in the key go to the quarantine of this run; they are read a second
+    time only if the write noticed some.
+    """
     raw = read_raw(store, contract)
     if raw is None:
         log.warning("no raw table, skipped: %s", contract.name)
         return None
-    table = conform(raw, contract, dimensions, dimension_tables, run, COPIES)
+    keyless = Observation()
+    table = conform(raw, contract, dimensions, dimension_tables, run, COPIES, keyless)
     figures = write_layer(
         table,
         store.path(CONFORMED, contract.name),
@@ -125,6 +140,11 @@ def conform_entity(
     )
     report = {"layer": CONFORMED, "entity": contract.name, **figures}
     report["removed"] = report["rows_before"] - report["rows"]
+    report["without_key"] = keyless.get.get("n") or 0
+    if report["without_key"]:
+        aside = f"{store.path(QUARANTINE, f'{contract.name}_without_key')}/run={run.stamp}"
+        rows = without_key(clean_rows(raw, contract), contract.keys)
+        write_layer(rows, aside, partition_by=(), replace_all=True)
     log.info("%s", report)
     return report
 

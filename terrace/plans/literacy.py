@@ -233,18 +233,21 @@ STATUSES = (
 )
 
 # The columns of the analytical table, in order.
-ANALYTICAL_COLUMNS = """
-ano id_municipio nome_municipio sigla_uf nome_uf nome_regiao serie serie_nome rede rede_nome
-alunos_total alunos_presentes alunos_alfabetizados
-proporcao_presenca taxa_alfabetizacao_observada
-proficiencia_media proficiencia_media_ponderada
-taxa_alfabetizacao_municipio media_portugues_municipio
-meta_alfabetizacao_municipio percentual_participacao_municipio
-meta_atingida_municipio meta_atingida_presenca_municipio
-taxa_alfabetizacao_uf media_portugues_uf
-meta_alfabetizacao_uf percentual_participacao_uf
-meta_atingida_uf meta_atingida_presenca_uf
-taxa_alfabetizacao_brasil media_portugues_brasil taxa_alfabetizacao_brasil_oficial
-meta_alfabetizacao_brasil percentual_participacao_brasil
-meta_atingida_brasil meta_atingida_presenca_brasil
-""".split()
+ANALYTICAL_COLUMNS = (
+    "ano", "id_municipio", "nome_municipio", "sigla_uf", "nome_uf", "nome_regiao", "serie", "serie_nome", "rede", "rede_nome",
+    "alunos_total", "alunos_presentes", "alunos_alfabetizados",
+    "proporcao_presenca", "taxa_alfabetizacao_observada",
+    "proficiencia_media", "proficiencia_media_ponderada",
+    "taxa_alfabetizacao_municipio", "media_portugues_municipio",
+    "meta_alfabetizacao_municipio", "percentual_participacao_municipio",
+    "meta_atingida_municipio", "meta_atingida_presenca_municipio",
+    "taxa_alfabetizacao_uf", "media_portugues_uf",
+    "meta_alfabetizacao_uf", "percentual_participacao_uf",
+    "meta_atingida_uf", "meta_atingida_presenca_uf",
+    "taxa_alfabetizacao_brasil", "media_portugues_brasil", "taxa_alfabetizacao_brasil_oficial",
+    "meta_alfabetizacao_brasil", "percentual_participacao_brasil",
+    "meta_atingida_brasil", "meta_atingida_presenca_brasil",
+)
+
+#: Further columns of the analytical table: what the weighted mean of a slice is made of.
+SLICE_SUMS = ("soma_proficiencia_peso", "soma_peso")

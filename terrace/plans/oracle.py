@@ -101,7 +101,9 @@ metrics AS (
          {percent("alunos_presentes", "alunos_total")} AS proporcao_presenca,
          {percent("alunos_alfabetizados", "alunos_presentes")} AS taxa_alfabetizacao_observada,
          {quotient("cents", "n_cents", 100)} AS proficiencia_media,
-         {quotient("cents_peso", "peso", 100)} AS proficiencia_media_ponderada
+         {quotient("cents_peso", "peso", 100)} AS proficiencia_media_ponderada,
+         CAST(cents_peso AS DOUBLE) / 100 AS soma_proficiencia_peso,
+         CAST(peso AS DOUBLE) AS soma_peso
   FROM sums)"""
 
 
@@ -165,6 +167,7 @@ joined AS (
          {SERIE_NOME} AS serie_nome, m.rede, {REDE_NOME} AS rede_nome,
          alunos_total, alunos_presentes, alunos_alfabetizados, proporcao_presenca,
          taxa_alfabetizacao_observada, proficiencia_media, proficiencia_media_ponderada,
+         soma_proficiencia_peso, soma_peso,
          m.taxa_alfabetizacao AS taxa_alfabetizacao_municipio,
          m.media_portugues AS media_portugues_municipio,
          meta_alfabetizacao_municipio, percentual_participacao_municipio,
@@ -216,6 +219,13 @@ def on_municipal(select: str) -> str:
     return "WITH " + ",".join([MEMBER, PLACE, MUNICIPAL, MUNICIPAL_TARGET]) + "\n" + select
 
 
+SLICE_MEAN = quotient(
+    "sum(CAST(round(soma_proficiencia_peso * 100) AS HUGEINT))",
+    "sum(CAST(round(soma_peso) AS HUGEINT))",
+    100,
+)
+YEARLY_SCORES = "WITH " + ",".join([FACT, MEMBER]) + """
+SELECT ano, code AS rede, {} AS {} FROM fact JOIN member ON rede = base GROUP BY ano, code"""
 SLICE = "ano = 1997 AND rede = 'T'"
 ASIA = SLICE + " AND nome_regiao = 'ASIA'"
 
@@ -333,7 +343,13 @@ SELECT * EXCLUDE (rn) FROM (
   FROM lineitem) WHERE rn = 1""",
     "dedup_audit": """
 SELECT count(*) AS rows_before, count(DISTINCT (l_orderkey, l_linenumber)) AS rows_after,
-       count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS rows_removed FROM lineitem""",
+       count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS rows_removed,
+       count(*) FILTER (l_orderkey IS NULL OR l_linenumber IS NULL) AS rows_without_key
+FROM lineitem""",
+    "dedup_null_keys": """
+SELECT l_orderkey, l_linenumber, count(*) AS copies, max(l_shipdate) AS l_shipdate,
+       (SELECT count(*) FROM lineitem WHERE l_orderkey % 10 = 0) AS rows_without_key
+FROM lineitem WHERE l_orderkey % 10 <> 0 GROUP BY l_orderkey, l_linenumber""",
     "dim_load": """
 SELECT CAST(c_custkey AS VARCHAR) AS id_cliente, c_name AS nome, c_mktsegment AS segmento
 FROM customer""",
@@ -372,6 +388,13 @@ SELECT ano, id_municipio, serie, rede, alunos_total, alunos_presentes, alunos_al
     ),
     "metrics_mean": on_metrics(f"SELECT {GRAIN}, proficiencia_media FROM metrics"),
     "metrics_weighted": on_metrics(f"SELECT {GRAIN}, proficiencia_media_ponderada FROM metrics"),
+    "metrics_weighted_small": YEARLY_SCORES.format(
+        quotient("sum(cents * peso)", "sum(CASE WHEN cents IS NOT NULL THEN peso END)", 100),
+        "proficiencia_media_ponderada",
+    ),
+    "metrics_mean_large": YEARLY_SCORES.format(
+        quotient("sum(cents)", "count(cents)", 100), "mean_in_billions"
+    ),
     "target_of_year": """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, s_nationkey AS n_nationkey, count(*) AS n,
        CASE WHEN s_nationkey % 7 <> 0 AND year(l_shipdate) BETWEEN 1996 AND 1998
@@ -452,7 +475,8 @@ SELECT *, proficiencia_media - 743.0::DOUBLE AS vs_corte FROM (
          CAST(sum(alunos_alfabetizados) AS BIGINT) AS alunos_alfabetizados,
          {percent("sum(alunos_presentes)", "sum(alunos_total)")} AS presenca_media,
          {percent("sum(alunos_alfabetizados)", "sum(alunos_presentes)")} AS taxa_observada,
-         {mean2("proficiencia_media_ponderada")} AS proficiencia_media
+         {mean2("proficiencia_media_ponderada")} AS proficiencia_media,
+         {SLICE_MEAN} AS proficiencia_media_ponderada
   FROM gold WHERE {SLICE})"""
     ),
     "report_scatter": gold(

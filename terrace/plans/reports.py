@@ -21,7 +21,8 @@ from terrace.functions.targets import (
 )
 from terrace.functions.text import contains_text, place_label
 from terrace.operators.compare import change_from_previous_year, share_of_group
-from terrace.plans.literacy import CUT_SCORE
+from terrace.operators.metrics import weighted_mean
+from terrace.plans.literacy import CUT_SCORE, SLICE_SUMS
 from terrace.sources.catalog import has_columns
 
 STUDENT_COLUMNS = ("alunos_total", "alunos_presentes", "alunos_alfabetizados", "proporcao_presenca")
@@ -151,15 +152,18 @@ def top_results(results: DataFrame, year: int, n: int = 10) -> DataFrame:
 
 
 def student_kpis(table: DataFrame, wanted: Slice, cut: float = CUT_SCORE) -> DataFrame:
-    """Students, attendance, observed rate, and the mean of the groups' weighted mean scores.
+    """Students, attendance, observed rate, and two mean scores.
 
-    The mean score is unweighted over groups; ``vs_corte`` is its distance to the cut score.
+    ``proficiencia_media`` is the unweighted mean of the groups' weighted means and
+    ``vs_corte`` its distance to the cut score. ``proficiencia_media_ponderada`` is the mean
+    over the students of the slice, each with its weight.
     """
     return (
         apply_slice(table, wanted)
         .agg(
             *[F.sum(c).alias(c) for c in STUDENT_COLUMNS[:3]],
             exact_mean(F.col("proficiencia_media_ponderada")).alias("proficiencia_media"),
+            weighted_mean(*SLICE_SUMS).alias("proficiencia_media_ponderada"),
         )
         .select(
             *STUDENT_COLUMNS[:3],
@@ -168,6 +172,7 @@ def student_kpis(table: DataFrame, wanted: Slice, cut: float = CUT_SCORE) -> Dat
                 "taxa_observada"
             ),
             "proficiencia_media",
+            "proficiencia_media_ponderada",
             (F.col("proficiencia_media") - F.lit(cut)).alias("vs_corte"),
         )
     )
@@ -232,12 +237,12 @@ def below_target_diagnosis(table: DataFrame, wanted: Slice) -> DataFrame:
 
 
 # The columns of the detail table.
-DETAIL_COLUMNS = """
-id_municipio nome_municipio sigla_uf nome_regiao rede_nome
-taxa_alfabetizacao_municipio meta_alfabetizacao_municipio meta_atingida_municipio
-media_portugues_municipio percentual_participacao_municipio
-taxa_alfabetizacao_uf taxa_alfabetizacao_brasil_oficial
-""".split()
+DETAIL_COLUMNS = (
+    "id_municipio", "nome_municipio", "sigla_uf", "nome_regiao", "rede_nome",
+    "taxa_alfabetizacao_municipio", "meta_alfabetizacao_municipio", "meta_atingida_municipio",
+    "media_portugues_municipio", "percentual_participacao_municipio",
+    "taxa_alfabetizacao_uf", "taxa_alfabetizacao_brasil_oficial",
+)
 
 
 def detail(
@@ -255,7 +260,7 @@ def detail(
 
 def student_section(table: DataFrame, wanted: Slice) -> dict[str, DataFrame]:
     """The reports that need student data; none for a table built without it."""
-    if not has_columns(table, *STUDENT_COLUMNS):
+    if not has_columns(table, *STUDENT_COLUMNS, *SLICE_SUMS):
         return {}
     return {
         "student_kpis": student_kpis(table, wanted),

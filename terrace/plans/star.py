@@ -34,18 +34,31 @@ CODES = (
 TARGET_YEARS = (1996, 1997, 1998)
 CONTRACTS = tuple(replace(c, codes=CODES) for c in (*L.published(TARGET_YEARS), L.STUDENTS))
 
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple[object, ...], str] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def source_version(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Number and hash of the files of the tables used here: paths, sizes and times."""
+    tables = ("lineitem", "supplier", "nation", "region")
+    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in tables])
+    found = files.agg(
+        F.count(F.lit(1)), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))
+    )
+    return tuple(found.first())
+
+
 def written_once(
     spark: SparkSession, sf_dir: str, label: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
-    """A table in the shared scratch folder, built on first use in the application."""
-    key = (spark.sparkContext.applicationId, sf_dir, label)
+    """A table in the shared scratch folder, built on first use in the application.
+
+    It is built anew if the files that it is derived from are others by then.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, label, source_version(spark, sf_dir))
     if key in _written:
         found = read_if_present(spark, _written[key])
         if found is not None:

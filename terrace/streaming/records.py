@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from terrace.contracts import PayloadSpec
 from terrace.operators.clean import type_payload, typed_value
+from terrace.sources.layers import read_if_present
 
 RECORD_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("data", T.BinaryType())]
@@ -26,10 +27,17 @@ def to_records(df: DataFrame, key: str, default_key: str = "default") -> DataFra
     )
 
 
-def publish(df: DataFrame, key: str, path: str, records_per_file: int = 500) -> None:
-    """Write the rows as record files, each of which is one bounded batch for a replay."""
-    records = to_records(df, key).write.mode("append")
-    records.option("maxRecordsPerFile", records_per_file).parquet(path)
+def publish(df: DataFrame, key: str, path: str, records_per_file: int = 1_000_000) -> None:
+    """Write the rows as record files, each of which is one bounded batch for a replay.
+
+    Records that are there already are not written again, so a call after a failure goes on
+    where the last one stopped and a second call writes nothing.
+    """
+    records = to_records(df, key)
+    present = read_if_present(df.sparkSession, path)
+    if present is not None:
+        records = records.join(present, ["key", "data"], "left_anti")
+    records.write.mode("append").option("maxRecordsPerFile", records_per_file).parquet(path)
 
 
 def parse_records(records: DataFrame, spec: PayloadSpec, data: str = "data") -> DataFrame:

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from terrace.operators.dedup import dedup_audit, deduplicate
+from terrace.operators.dedup import dedup_audit, deduplicate, without_key
 
 SCHEMA = "k string, at string, v int, w string"
 
@@ -24,9 +24,12 @@ def test_same_columns_and_idempotent(spark, rows):
     assert rows(deduplicate(once, ["k"], ["at"])) == rows(once)
 
 
-def test_null_keys_are_one_key(spark, rows):
-    df = spark.createDataFrame([(None, "1", 1, "x"), (None, "2", 2, "x")], SCHEMA)
-    assert rows(deduplicate(df, ["k"], ["at"])) == [(None, "2", 2, "x")]
+def test_rows_without_key_are_set_aside_and_counted(spark, rows):
+    lost = [(None, "1", 1, "x"), (None, "2", 2, "x"), (None, "2", 2, "x")]
+    df = spark.createDataFrame([*lost, ("a", "1", 1, "x"), ("a", "2", 1, "x")], SCHEMA)
+    assert rows(deduplicate(df, ["k", "absent"], ["at"], "n")) == [("a", "2", 1, "x", 2)]
+    assert rows(without_key(df, ["k", "absent"])) == lost
+    assert rows(dedup_audit(df, ["k"])) == [(5, 1, 1, 3)]
 
 
 def test_no_key_no_change(spark):
@@ -42,8 +45,8 @@ def test_key_columns_only(spark, rows):
 
 def test_audit(spark, rows):
     df = spark.createDataFrame([("a", "1", 1, "x")] * 3 + [("b", "1", 1, "x")], SCHEMA)
-    assert rows(dedup_audit(df, ["k"])) == [(4, 2, 2)]
-    assert rows(dedup_audit(df.limit(0), ["k"])) == [(0, 0, 0)]
+    assert rows(dedup_audit(df, ["k"])) == [(4, 2, 2, 0)]
+    assert rows(dedup_audit(df.limit(0), ["k"])) == [(0, 0, 0, 0)]
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark, rows, capsys):

@@ -10,6 +10,7 @@ nome_regiao string, serie string, rede string, rede_nome string,
 alunos_total bigint, alunos_presentes bigint, alunos_alfabetizados bigint,
 proporcao_presenca double, taxa_alfabetizacao_observada double,
 proficiencia_media_ponderada double,
+soma_proficiencia_peso double, soma_peso double,
 taxa_alfabetizacao_municipio double, meta_alfabetizacao_municipio double,
 meta_atingida_municipio string, meta_atingida_presenca_municipio string,
 taxa_alfabetizacao_uf double, meta_alfabetizacao_uf double, meta_atingida_uf string,
@@ -23,7 +24,9 @@ MET, BELOW, NO_TARGET, NO_DATA = "Atingida", "Abaixo", "Sem meta", "Sem dado"
 def row(
     place, state, region, rate, target, status, attendance, year=2024, network="3", grade="2"
 ):
-    students = (10, 8, 4, 80.0, 50.0, 750.5) if rate is not None else (None,) * 6
+    weight = float(place)
+    mean = (750.5, (740 + weight) * weight, weight)
+    students = (10, 8, 4, 80.0, 50.0, *mean) if rate is not None else (None,) * 8
     return (
         year, place, f"Cidade {place}", state, f"Estado {state}", region, grade, network,
         "Municipal", *students, rate, target, status, attendance,
@@ -101,9 +104,12 @@ def test_extremes(table):
 
 
 def test_student_kpis(table, rows):
-    assert rows(reports.student_kpis(table, WANTED)) == [(50, 40, 20, 80.0, 50.0, 750.5, 7.5)]
+    """Places 1 to 4 and 6 weigh 1 to 4 and 6, and their means are 741 to 744 and 746."""
+    assert rows(reports.student_kpis(table, WANTED)) == [
+        (50, 40, 20, 80.0, 50.0, 750.5, 744.13, 7.5)
+    ]
     nothing = reports.student_kpis(table, Slice(2030))
-    assert rows(nothing) == [(None,) * 7]
+    assert rows(nothing) == [(None,) * 8]
 
 
 def test_points(table):

@@ -95,11 +95,18 @@ def test_same_checkpoint_goes_on_where_it_stopped(spark, tmp_path, published):
     run()
     run()
     assert read_ingested(spark, str(tmp_path / "out")).count() == 12
-    publish(source(spark, 3), "id", published)
+    publish(source(spark, 15), "id", published)
     run()
     assert read_ingested(spark, str(tmp_path / "out")).count() == 15
 
 
+def test_a_second_publication_writes_what_is_missing_only(spark, published):
+    publish(source(spark), "id", published)
+    assert spark.read.parquet(published).count() == 12
+    publish(source(spark, 14), "id", published)
+    assert spark.read.parquet(published).count() == 14
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path, published):
     write = handler(tmp_path, "a")
     batch = spark.read.parquet(published)
