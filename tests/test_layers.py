@@ -319,6 +319,18 @@ def test_one_shuffle_from_raw_to_conformed(spark, capsys):
     assert plan.count("Sort [") == 2
 
 
+def test_rows_without_a_key_go_to_the_quarantine(spark, tmp_path):
+    files = dict(FILES)
+    name = "br_inep_avaliacao_alfabetizacao_uf.csv"
+    files[name] = [*files[name], f"2024,,2,3,1.0,700{NO_LEVELS}", f"2024,,2,3,2.0,700{NO_LEVELS}"]
+    write_sources(tmp_path, files)
+    found = run_layers(spark, str(tmp_path), RUN, layers=("bronze", "silver"))
+    state = next(r for r in found if r["layer"] == "silver" and r["entity"] == L.STATE_RESULT)
+    assert (state["without_key"], state["rows"], state["removed"]) == (2, 4, 0)
+    aside = spark.read.parquet(f"{tmp_path}/quarantine/{L.STATE_RESULT}_without_key")
+    assert aside.count() == 2 and aside.filter("sigla_uf is not null").isEmpty()
+
+
 def test_repeated_target_key_fails(built, spark):
     from terrace.plans.analytical import analytical_table
 
