@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import contamination, mixing, quality, simhash, tokens
+from terrace.llm import contamination, mixing, quality, resemblance, simhash, tokens
 from terrace.llm.common import table
 from terrace.sources.scratch import scratch_path
 
@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near-duplicates stays: by fingerprint, or by shingles."""
+    return simhash.one_of_each(docs, similarity=resemblance.SIMILARITY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.llm import resemblance
 from terrace.llm.common import stored, texts
 
 #: Low bit and width of the ring's segments.
@@ -249,14 +250,44 @@ def connected(links: DataFrame, label: str = "links") -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def _members(docs: DataFrame, width: int, seed: int, block: int) -> DataFrame:
+def _with_copies(
+    rooted: DataFrame, prints: DataFrame, docs: DataFrame, similarity: float
+) -> DataFrame:
+    """``rooted`` with the components joined that a pair of similar texts connects."""
+    of_text = prints.select("text_key", "fingerprint").distinct()
+    sketches = stored(resemblance.sketches(docs).join(of_text, "text_key"), "sketches")
+    done: DataFrame | None = None
+    for partners in (resemblance.with_least, resemblance.with_every):
+        placed = sketches.join(rooted.select("fingerprint", "root"), "fingerprint")
+        pairs = partners(placed, similarity)
+        if done is not None:
+            key = [F.col(f"{side}.text_key").alias(f"{side}_key") for side in "ab"]
+            pairs = pairs.select("a", "b", *key).join(done.select(*key), ["a_key", "b_key"], "left_anti")
+        done = stored(pairs.select("a", "b"), "pairs")
+        links = resemblance.similar(docs, done, similarity)
+        merged = connected(links, "copies").select(F.col("node").alias("root"), F.col("root").alias("to"))
+        rooted = stored(
+            rooted.join(merged, "root", "left").select(
+                "fingerprint", "least", F.coalesce("to", "root").alias("root")
+            ),
+            "rooted",
+        )
+    return rooted
+
+
+def _members(
+    docs: DataFrame, width: int, seed: int, block: int, similarity: float | None = None
+) -> DataFrame:
     """``doc_id``, ``fingerprint``, ``root`` (a fingerprint) and ``component_id`` of every row."""
-    prints = stored(fingerprints(docs.select("doc_id", "text"), width, seed), "fingerprints")
+    names = ["doc_id", *([] if similarity is None else [resemblance.text_key()]), "text"]
+    prints = stored(fingerprints(docs.select(*names), width, seed), "fingerprints")
     distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     roots = connected(fingerprint_links(distinct.select("fingerprint"), block))
     rooted = distinct.join(
         roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
     ).select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
+    if similarity is not None:
+        rooted = _with_copies(stored(rooted, "rooted"), prints, docs, similarity)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = rooted.join(named, "root").select("fingerprint", "root", "component_id")
     return prints.join(of_print, "fingerprint").select(
@@ -278,15 +309,21 @@ def near_duplicates(
 
 
 def one_of_each(
-    docs: DataFrame, width: int = 4, seed: int = 42, block: int = BLOCK
+    docs: DataFrame,
+    width: int = 4,
+    seed: int = 42,
+    block: int = BLOCK,
+    similarity: float | None = None,
 ) -> DataFrame:
     """The documents without near-duplicates of another: one row of each component stays.
 
+    With a ``similarity``, texts are linked too whose five-word shingles are as similar.
+
     It is the row with the component's id. If several rows of the component have it, the
     one whose text hash is smallest stays; of rows equal in that, any one. The columns are
     those of ``docs``.
     """
-    found = stored(_members(docs, width, seed, block), "members")
+    found = stored(_members(docs, width, seed, block, similarity), "members")
     own = F.col("doc_id").eqNullSafe(F.col("component_id"))
     keepers = found.filter(own).select(F.col("doc_id").alias("_kept_id")).distinct()
     kept = docs.join(keepers, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
