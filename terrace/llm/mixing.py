@@ -5,8 +5,10 @@ Time is a row of slots, each of one block. Block ``i`` (from 0) of a source with
 deadline first gives every slot to a released block, and every block meets its deadline;
 so at any time each source has had its share of the slots to less than one block.
 
-Weights are whole shares of a period. The schedule repeats with the period, so it is made
-once for one period; slots of all blocks follow from it by arithmetic. Documents of a
+Weights are exact: fractions are brought to whole numbers, none is rounded. Only blocks
+that a source has are scheduled, so one of little weight costs no more slots than it has
+blocks. What is to come depends only on the slot and the blocks given so far: one pass
+over the blocks notes these once a period, and tasks plan the periods apart. Documents of a
 source come in the order of a hash, and a block is a fixed number of characters of that
 sequence. The running sum of characters is taken in buckets of the hash, to which the
 sums of the buckets before are added, so no source has to be in one task.
@@ -15,53 +17,99 @@ sums of the buckets before are added, so no source has to be in one task.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from fractions import Fraction
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.common import stored
 
-#: Slots of a period, the power of a source's size that is its weight, characters a block.
+#: Blocks planned in one go, the power of a source's size that is its weight, characters a block.
 PERIOD, POWER, BLOCK_CHARS = 1000, 0.5, 20_000
 #: Documents of a bucket, about.
 BUCKET_ROWS = 2_000
 SEED = 17
 
 
-def whole_shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Shares of the period in proportion to the weights, by largest remainder, 1 at least.
+def whole_weights(weights: Sequence[float]) -> list[int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    exact = [Fraction(w) for w in weights]
+    common = math.lcm(*[x.denominator for x in exact])
+    whole = [int(x * common) for x in exact]
+    least = math.gcd(*whole) or 1
+    return [x // least for x in whole]
 
-    Weights of 0 have none. The period grows to ten slots a source if there are many.
+
+def turns(
+    weights: Sequence[int], ends: Sequence[int], given: Sequence[int] | None = None, slot: int = 0
+) -> Iterator[tuple[int, int, int, int, int]]:
+    """Source, block, release, deadline and slot of each block, in the order of the slots.
+
+    Goes on at ``slot`` after the first ``given`` blocks of each source, up to its end.
     """
-    positive = {s: w for s, w in sorted(weights.items()) if w > 0}
-    period, total = max(period, 10 * len(positive)), sum(positive.values())
-    exact = {s: w / total * period for s, w in positive.items()}
-    shares = {s: max(1, int(x)) for s, x in exact.items()}
-    by_rest = sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))
-    for s in by_rest[: max(0, period - sum(shares.values()))]:
-        shares[s] += 1
-    return shares
+    total, given = sum(weights), list(given or [0] * len(weights))
+    waiting = [
+        (given[s] * total // w, s) for s, w in enumerate(weights) if w and given[s] < ends[s]
+    ]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, int, int]] = []  # (deadline, source, release)
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
+            release, s = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(given[s] + 1) * total // weights[s]), s, release))
+        deadline, s, release = heapq.heappop(ready)
+        yield s, given[s], release, deadline, slot
+        given[s] += 1
+        slot += 1
+        if given[s] < ends[s]:
+            heapq.heappush(waiting, (given[s] * total // weights[s], s))
 
 
 def schedule(shares: Sequence[int]) -> list[list[int]]:
     """Slots of each source's blocks in one period, whose length is the sum of the shares."""
-    period = sum(shares)
     slots: list[list[int]] = [[] for _ in shares]
-    waiting = [(0, s) for s, share in enumerate(shares) if share]  # (release, source)
-    heapq.heapify(waiting)
-    ready: list[tuple[int, int]] = []  # (deadline, source)
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, s = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(len(slots[s]) + 1) * period // shares[s]), s))
-        _, s = heapq.heappop(ready)
+    for s, _, _, _, slot in turns(shares, shares):
         slots[s].append(slot)
-        if len(slots[s]) < shares[s]:
-            heapq.heappush(waiting, (len(slots[s]) * period // shares[s], s))
     return slots
 
 
+def states(
+    weights: Sequence[int], ends: Sequence[int], period: int
+) -> Iterator[tuple[int, list[int]]]:
+    """Slot and blocks given of each source, before every ``period``-th block."""
+    given = [0] * len(weights)
+    for at, (s, _, _, _, slot) in enumerate(turns(weights, ends)):
+        if at % period == 0:
+            yield slot, list(given)
+        given[s] += 1
+
+
+def _planned(
+    spark: SparkSession, sources: Sequence[str], weights: Sequence[int], ends: Sequence[int], period: int
+) -> DataFrame:
+    """``key``, ``mix_block`` and its release, deadline and slot, of all blocks."""
+    period = max(period, 10 * len(sources))
+    begun = spark.createDataFrame(list(states(weights, ends, period)), "slot bigint, given array<bigint>")
+    schema = "key string, mix_block bigint, mix_release bigint, mix_deadline bigint, mix_slot bigint"
+
+    def plan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for state in batch.to_pylist():
+                made = islice(turns(weights, ends, state["given"], state["slot"]), period)
+                s, *columns = zip(*made, strict=True)
+                arrays = [pa.array([sources[i] for i in s]), *[pa.array(c, pa.int64()) for c in columns]]
+                names = ["key", "mix_block", "mix_release", "mix_deadline", "mix_slot"]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return begun.mapInArrow(plan, schema)
+
+
 def _key(source: str) -> Column:
     """The source as text, told apart from null."""
     return F.when(F.col(source).isNull(), "null").otherwise(
@@ -110,17 +158,24 @@ def scheduled(
     else:
         named = {"null" if s is None else f"={s}": w for s, w in weights.items()}
         wanted = {s: named.get(s, 0.0) for s in sizes}
-    shares = whole_shares(wanted, period)
-    slots = schedule(list(shares.values()))
-    plan = docs.sparkSession.createDataFrame(
-        [(s, share, at) for (s, share), at in zip(shares.items(), slots, strict=True)],
-        "key string, share bigint, slots array<int>",
-    )
-    total = F.lit(sum(shares.values())).cast("bigint")
+    sources = sorted(k for k, w in wanted.items() if w > 0)
+    whole = whole_weights([wanted[k] for k in sources])
+    # A document without characters may start where the last block ends.
+    ends = [sizes[k] // block_chars + 1 for k in sources]
+    planned = _planned(docs.sparkSession, sources, whole, ends, period)
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        "key", "bucket", F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("offset")
-    ).join(F.broadcast(plan), "key", "left")  # a row a source, and a slot list of one period in all
+        "key", "bucket", "chars", F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("offset")
+    ).withColumn("first", F.expr(f"offset div {block_chars}"))
+    # The blocks of a bucket, in their order.
+    last = F.expr(f"(offset + chars) div {block_chars}")
+    blocks = offsets.select("key", "bucket", F.explode(F.sequence("first", last)).alias("mix_block"))
+    turn = F.struct("mix_block", "mix_release", "mix_deadline", "mix_slot")
+    of_bucket = blocks.join(planned, ["key", "mix_block"]).groupBy("key", "bucket").agg(
+        F.array_sort(F.collect_list(turn)).alias("turns")
+    )
+    offsets = offsets.drop("chars").join(of_bucket, ["key", "bucket"], "left")
+    offsets = stored(offsets, "mix_offsets")
     inside = Window.partitionBy("key", "bucket").orderBy("draw", "size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -129,15 +184,14 @@ def scheduled(
     placed = sequenced.join(offsets, ["key", "bucket"])
     start = F.col("offset") + F.col("until") - F.col("size")
     placed = placed.withColumn("mix_start", start)
-    placed = placed.withColumn("mix_block", F.floor(F.col("mix_start") / F.lit(block_chars)))
-    turn = F.floor(F.col("mix_block") / F.col("share"))
-    slot = turn * total + F.get("slots", (F.col("mix_block") % F.col("share")).cast("int"))
+    placed = placed.withColumn("mix_block", F.expr(f"mix_start div {block_chars}"))
+    placed = placed.withColumn("turn", F.get("turns", (F.col("mix_block") - F.col("first")).cast("int")))
     return placed.select(
         *[F.col(own).alias(c) for own, c in zip(kept, names, strict=True)],
         "mix_block",
-        F.floor(F.col("mix_block") * total / F.col("share")).alias("mix_release"),
-        F.ceil((F.col("mix_block") + 1) * total / F.col("share")).alias("mix_deadline"),
-        slot.alias("mix_slot"),
+        "turn.mix_release",
+        "turn.mix_deadline",
+        "turn.mix_slot",
         "mix_start",
     )
 
