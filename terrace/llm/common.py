@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +47,17 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def text_slices(
+    batches: Iterable[pa.RecordBatch], column: str, most: int = 2 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Smaller record batches of at most so many bytes of text; a longer text is alone."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
+        ends = np.cumsum(sizes, dtype=np.int64)
+        start, before = 0, 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(start, stop - start)
+            start, before = stop, int(ends[stop - 1])

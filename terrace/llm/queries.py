@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import (
-    contamination, langid, lines, lm, mixing, quality, secrets, simhash, tokens, toxicity,
+    bpe, contamination, divergence, langid, lines, lm, mixing, quality, ranking, secrets, simhash,
+    tokens, toxicity,
 )
 from terrace.llm.common import table
 
@@ -90,6 +91,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(_documents(spark, sf_dir))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_documents(spark, sf_dir))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,6 +114,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_rules, op2_decontamination, op3_secret_scan, op4_language_id, op5_lm_score,
         op6_source_mix, op7_token_files, op8_line_dedup, op9_simhash_groups, op10_toxicity,
-        pipeline,
+        op11_source_divergence, op12_byte_bpe, op13_ranked_search, pipeline,
     )
 }
