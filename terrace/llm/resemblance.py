@@ -5,8 +5,12 @@ Two texts of similarity ``s`` share a key with probability ``1 - (1 - s**4)**24`
 all but 4 pairs in a million do. What shares a key is compared by its whole shingle sets,
 so a link is never an estimate.
 
-Only pairs that are not yet in one component are compared: first each text with the least
-one of its key, then, with the links found so far, all that are still apart.
+No pair is ever a row. The texts of a key are dealt into blocks of bounded size, a task
+compares those of a block that are in different components, and returns a forest of the
+links it finds. A pass over a few keys joins most copies, so that in the next one, over the
+others, few keys are left that have several components; only keys that still do so and
+have more than one block are met block by block at last. Within a block a text is compared
+with those alone that share one of its rarest shingles, as similar texts must.
 """
 
 from __future__ import annotations
@@ -24,6 +28,12 @@ from terrace.llm.common import slices, stored, texts
 #: Words of a shingle, keys of a text, least values of a key.
 WIDTH, BANDS, ROWS = 5, 24, 4
 SIMILARITY = 0.8
+#: Texts of a block.
+BLOCK = 256
+#: Groups of at most so many texts are compared pair by pair.
+FEW = 8
+#: First key and number of keys of each pass, and whether blocks are met with each other.
+PASSES = ((0, 3, False), (3, BANDS - 3, False), (0, BANDS, True))
 
 _DRAW = np.random.default_rng(8)
 _FACTORS = _DRAW.integers(0, 1 << 63, BANDS * ROWS, np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
@@ -74,49 +84,14 @@ def sketches(docs: DataFrame) -> DataFrame:
                 [keys, sizes, _lists([band_keys(s) for s in sets])], names=["text_key", "n", "bands"]
             )
 
-    made = docs.select(text_key(), "text").mapInArrow(
+    # Copies go before anything is hashed; each task drops its own first.
+    return docs.select("text").distinct().select(text_key(), "text").mapInArrow(
         compute, "text_key bigint, n bigint, bands array<bigint>"
     )
-    return made.groupBy("text_key").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
 
 
-def _keyed(placed: DataFrame) -> DataFrame:
-    """``key`` and ``t`` (text_key, n, root) where a key has more than one root."""
-    keyed = placed.select(F.explode("bands").alias("key"), F.struct("text_key", "n", "root").alias("t"))
-    apart = keyed.groupBy("key").agg(F.min("t.root").alias("low"), F.max("t.root").alias("high"))
-    return keyed.join(apart.filter("low != high").select("key"), "key")
-
-
-def _pairs(joined: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs ``a``, ``b`` that are apart and whose sizes allow the similarity."""
-    a, b = F.col("a"), F.col("b")
-    parts = F.lit(round(similarity * 1000))
-    large = F.greatest(a["n"], b["n"]) * parts <= F.least(a["n"], b["n"]) * 1000
-    return joined.filter((a["root"] != b["root"]) & large).select("a", "b").distinct()
-
-
-def with_least(placed: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of each text with the least one of its key."""
-    keyed = _keyed(placed)
-    least = keyed.groupBy("key").agg(F.min("t").alias("a"))
-    return _pairs(keyed.withColumnRenamed("t", "b").join(least, "key"), similarity)
-
-
-def with_every(placed: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of the same key."""
-    keyed = _keyed(placed)
-    right = keyed.select("key", F.col("t").alias("b"))
-    joined = keyed.withColumnRenamed("t", "a").join(right, "key")
-    return _pairs(joined.filter(F.col("a.text_key") < F.col("b.text_key")), similarity)
-
-
-def similar(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """``u`` and ``v``, the roots of the pairs whose shingle sets are similar."""
-    wanted = stored(
-        pairs.select("a.text_key").unionByName(pairs.select("b.text_key")).distinct(), "wanted"
-    )
-    asked = docs.select(text_key(), "text").join(wanted, "text_key", "left_semi")
-    asked = asked.groupBy("text_key").agg(F.first("text").alias("text"))
+def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``text_key`` and ``shingles`` (sorted hashes) of the texts whose ``text_key`` is wanted."""
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 128):
@@ -125,17 +100,130 @@ def similar(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
                 [batch.column("text_key"), _lists(sets)], names=["text_key", "shingles"]
             )
 
-    sets = stored(asked.mapInArrow(compute, "text_key bigint, shingles array<bigint>"), "shingles")
-    left = sets.select(F.col("text_key").alias("a_key"), F.col("shingles").alias("a_set"))
-    right = sets.select(F.col("text_key").alias("b_key"), F.col("shingles").alias("b_set"))
-    flat = pairs.select(
-        F.col("a.text_key").alias("a_key"), F.col("b.text_key").alias("b_key"),
-        F.col("a.root").alias("u"), F.col("b.root").alias("v"),
+    asked = docs.select(text_key(), "text").join(wanted, "text_key", "left_semi").distinct()
+    return asked.mapInArrow(compute, "text_key bigint, shingles array<bigint>")
+
+
+def candidates(
+    placed: DataFrame, first: int, count: int, crossed: bool, block: int = BLOCK
+) -> DataFrame:
+    """``key``, ``group``, ``text_key`` and ``root`` of the texts to be compared.
+
+    Only keys with more than one root. A group is one of the key's blocks, or with
+    ``crossed`` two of them.
+    """
+    keyed = placed.select(F.explode(F.slice("bands", first + 1, count)).alias("key"), "text_key", "root")
+    of_key = keyed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
     )
-    common = F.size(F.array_intersect("a_set", "b_set"))
-    union = F.size("a_set") + F.size("b_set") - common
+    apart = of_key.filter("low != high").select("key", F.ceil(F.col("n") / block).alias("blocks"))
+    found = keyed.join(apart.filter("blocks > 1") if crossed else apart, "key")
+    own = F.pmod(F.xxhash64("text_key"), F.col("blocks"))
+    if not crossed:
+        return found.select("key", own.alias("group"), "text_key", "root")
+    others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    met = found.select("key", "text_key", "root", "blocks", own.alias("own"), others)
+    pair = F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")
+    return met.filter("own != other").select("key", pair.alias("group"), "text_key", "root")
+
+
+def _similar(common: int, a: int, b: int, parts: int) -> bool:
+    return common * 1000 >= (a + b - common) * parts
+
+
+def group_links(roots: np.ndarray, sets: list[np.ndarray], parts: int) -> list[tuple[int, int]]:
+    """Links between roots that connect what similar texts of the group connect.
+
+    ``parts`` is the similarity in thousandths. Texts of one component are not compared.
+    """
+    _, label = np.unique(roots, return_inverse=True)
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    links: list[tuple[int, int]] = []
+
+    def join(i: int, j: int) -> None:
+        links.append((int(roots[i]), int(roots[j])))
+        label[label == label[j]] = label[i]
+
+    if len(sets) <= FEW:
+        for i in range(len(sets)):
+            for j in range(i):
+                if label[i] == label[j] or min(sizes[i], sizes[j]) * 1000 < max(sizes[i], sizes[j]) * parts:
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if _similar(common, int(sizes[i]), int(sizes[j]), parts):
+                    join(i, j)
+        return links
+    # Shingles by number, the group's rarest first; each text's in this order.
+    _, ids, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(counts), np.int64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    ids = rank[ids]
+    ids = ids[np.lexsort((ids, owner))]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    # Texts as similar as that have one of their first shingles in common.
+    prefix = sizes - -(-sizes * parts // 1000) + 1
+    first = np.arange(len(ids)) - np.repeat(starts, sizes) < np.repeat(prefix, sizes)
+    token, who = ids[first], owner[first]
+    order = np.argsort(token, kind="stable")
+    token, who = token[order], who[order]
+    marked = np.zeros(len(counts), bool)
+    for i in range(1, len(sets)):
+        if (label[: i + 1] == label[i]).all():
+            continue
+        own = ids[starts[i] : ends[i]]
+        low, high = (np.searchsorted(token, own[: prefix[i]], side) for side in ("left", "right"))
+        length = high - low
+        at = np.repeat(low - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        near, shared = np.unique(who[at], return_counts=True)
+        large = np.maximum(sizes[near], sizes[i]) * parts <= np.minimum(sizes[near], sizes[i]) * 1000
+        left = (near < i) & large & (label[near] != label[i])
+        near, shared = near[left], shared[left]
+        marked[own] = True
+        for j in near[np.argsort(-shared, kind="stable")].tolist():
+            if label[j] != label[i]:
+                common = int(np.count_nonzero(marked[ids[starts[j] : ends[j]]]))
+                if _similar(common, int(sizes[i]), int(sizes[j]), parts):
+                    join(i, j)
+        marked[own] = False
+    return links
+
+
+def similar(found: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``u`` and ``v``: links between the roots of candidates that are similar, as forests."""
+    parts = round(similarity * 1000)
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[object, object] | None = None
+        roots: list[int] = []
+        own: list[np.ndarray] = []
+        links: list[tuple[int, int]] = []
+
+        def batch_of() -> pa.RecordBatch:
+            u, v = zip(*links) if links else ((), ())
+            links.clear()
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            keys, groups, root = (batch.column(c).to_pylist() for c in ("key", "group", "root"))
+            lists = batch.column("shingles")
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for k, place in enumerate(zip(keys, groups, strict=True)):
+                if place != held:
+                    if len(roots) > 1:
+                        links += group_links(np.array(roots), own, parts)
+                    held, roots, own = place, [], []
+                roots.append(root[k])
+                own.append(flat[ends[k] : ends[k + 1]].copy())
+            if len(links) > 10_000:
+                yield batch_of()
+        if len(roots) > 1:
+            links += group_links(np.array(roots), own, parts)
+        yield batch_of()
+
     return (
-        flat.join(left, "a_key").join(right, "b_key")
-        .filter(common * 1000 >= union * F.lit(round(similarity * 1000)))
-        .select("u", "v").distinct()
+        found.join(sets, "text_key").select("key", "group", "root", "shingles")
+        .repartition("key", "group").sortWithinPartitions("key", "group")
+        .mapInArrow(compare, "u bigint, v bigint")
     )

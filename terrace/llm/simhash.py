@@ -256,15 +256,15 @@ def _with_copies(
     """``rooted`` with the components joined that a pair of similar texts connects."""
     of_text = prints.select("text_key", "fingerprint").distinct()
     sketches = stored(resemblance.sketches(docs).join(of_text, "text_key"), "sketches")
-    done: DataFrame | None = None
-    for partners in (resemblance.with_least, resemblance.with_every):
+    sets: DataFrame | None = None
+    for first, count, crossed in resemblance.PASSES:
         placed = sketches.join(rooted.select("fingerprint", "root"), "fingerprint")
-        pairs = partners(placed, similarity)
-        if done is not None:
-            key = [F.col(f"{side}.text_key").alias(f"{side}_key") for side in "ab"]
-            pairs = pairs.select("a", "b", *key).join(done.select(*key), ["a_key", "b_key"], "left_anti")
-        done = stored(pairs.select("a", "b"), "pairs")
-        links = resemblance.similar(docs, done, similarity)
+        if sets is None:  # of all texts that any pass compares
+            every = resemblance.candidates(placed, 0, resemblance.BANDS, False)
+            wanted = stored(every.select("text_key").distinct(), "wanted")
+            sets = stored(resemblance.shingle_sets(docs, wanted), "shingles")
+        found = resemblance.candidates(placed, first, count, crossed)
+        links = resemblance.similar(found, sets, similarity)
         merged = connected(links, "copies").select(F.col("node").alias("root"), F.col("root").alias("to"))
         rooted = stored(
             rooted.join(merged, "root", "left").select(

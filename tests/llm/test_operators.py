@@ -357,4 +357,4 @@ def test_pipeline_against_plain_python(spark, docs, benchmark, labels, tmp_path)
         expected.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
     assert _collect(corpus_pipeline.run(spark, where)) == sorted(expected)
-    assert set(queries.QUERIES) >= {"pipeline"} and len(queries.QUERIES) == 11
+    assert set(queries.QUERIES) >= {"pipeline"} and len(queries.QUERIES) == 14
