@@ -20,7 +20,7 @@ from terrace.operators.dedup import deduplicate
 from terrace.operators.metrics import group_sums, memberships, student_metrics
 from terrace.plans import literacy as L
 from terrace.plans import star
-from terrace.plans.catalogue import QUERIES
+from terrace.plans.queries import QUERIES
 from terrace.plans.star import load
 from terrace.sources.layers import write_layer
 from terrace.sources.scratch import scratch_path

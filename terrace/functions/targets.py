@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from terrace.functions.numbers import finite
+
 # The four states of a target.
 MET = "Atingida"
 BELOW = "Abaixo"
@@ -30,6 +32,8 @@ def target_of_year(columns: Iterable[str], prefix: str, year: Column) -> Column:
 
 
 def target_status(value: Column, target: Column) -> Column:
+    """Whether the value meets the target; what is no finite number is no value, or no target."""
+    value, target = finite(value), finite(target)
     return (
         F.when(target.isNull(), NO_TARGET)
         .when(value.isNull(), NO_DATA)
@@ -39,8 +43,8 @@ def target_status(value: Column, target: Column) -> Column:
 
 
 def gap_to_target(value: Column, target: Column) -> Column:
-    """Percentage points above (or, negative, below) the target."""
-    return value - target
+    """Percentage points above (or, negative, below) the target; null if either is no finite number."""
+    return finite(value) - finite(target)
 
 
 def status_rank(status: Column) -> Column:

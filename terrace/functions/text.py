@@ -28,5 +28,10 @@ def contains_text(text: Column, query: str) -> Column:
     return F.lower(text).contains(F.lower(F.lit(query)))
 
 
+def contains_any_form(text: Column, query: str) -> Column:
+    """Substring test that also ignores accents: "São" is found for "sao"."""
+    return F.collate(text, "UNICODE_CI_AI").contains(F.collate(F.lit(query), "UNICODE_CI_AI"))
+
+
 def place_label(name: Column, state: Column) -> Column:
     return F.concat(name, F.lit(" ("), state, F.lit(")"))

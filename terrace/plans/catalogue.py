@@ -42,7 +42,8 @@ from terrace.streaming.ingest import (
     start_ingest,
     stop_ingest,
 )
-from terrace.streaming.records import parse_records, publish, to_records
+from terrace.streaming.publish import publish
+from terrace.streaming.records import parse_records, to_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,7 +131,7 @@ def store_unpartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_file_control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders grouped by year for the write; rows, and how many files a year has."""
+    """Orders grouped by year for the write; rows, and whether a year has no more files than it needs."""
     path = scratch_path(spark, "orders")
     write_layer(dated_orders(spark, sf_dir), path, compact=True)
     per_file = (
@@ -139,10 +140,12 @@ def store_file_control(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("file", "ano")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("o_orderkey")).alias("k"))
     )
+    # A row is well below 256 bytes where it is shuffled, and a file is filled up to 64 MB.
+    most = 1 + F.floor(F.sum("n") * 256 / (64 << 20)) * 2
     return per_file.groupBy("ano").agg(
         F.sum("n").alias("n"),
         F.sum("k").alias("sum_orderkey"),
-        F.count(F.lit(1)).alias("files"),
+        (F.count(F.lit(1)) <= most).alias("few_files"),
     )
 
 
@@ -560,12 +563,12 @@ def quality_checks_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("layer", "entity", "check", "level", "found", "passed")
 
 
-def _ingest_events(spark: SparkSession, root: str, published: str, label: str) -> None:
+def ingest_events(spark: SparkSession, root: str, published: str, label: str) -> None:
     handler = batch_writer(EVENT_PAYLOAD, "events", f"{root}/bronze", label, lambda: RUN)
     drain(file_records(spark, published, 8), handler, f"{root}/checkpoints/{label}")
 
 
-def _published_events(spark: SparkSession, sf_dir: str, root: str) -> str:
+def published_events(spark: SparkSession, sf_dir: str, root: str) -> str:
     publish(event_rows(spark, sf_dir), "user_id", f"{root}/published", 5_000)
     return f"{root}/published"
 
@@ -576,7 +579,7 @@ EVENT_COLUMNS = ("ano", "event_id", "user_id", "event_type", "value", "k")
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events published as records, ingested by stream, read back from the raw layer."""
     root = scratch_path(spark, "stream")
-    _ingest_events(spark, root, _published_events(spark, sf_dir, root), "first")
+    ingest_events(spark, root, published_events(spark, sf_dir, root), "first")
     return read_ingested(spark, f"{root}/bronze").select(
         *EVENT_COLUMNS, "_ingestion_timestamp", "_source_entity"
     )
@@ -585,9 +588,9 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records twice with the same checkpoint and once with a fresh one; no extra rows."""
     root = scratch_path(spark, "stream")
-    published = _published_events(spark, sf_dir, root)
+    published = published_events(spark, sf_dir, root)
     for label in ("first", "first", "second"):
-        _ingest_events(spark, root, published, label)
+        ingest_events(spark, root, published, label)
     ingested = read_ingested(spark, f"{root}/bronze").select(*EVENT_COLUMNS)
     return deduplicate(ingested, ("ano", "event_id"), copies="copies")
 
@@ -605,7 +608,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = scratch_path(spark, "stream")
     publish(spoiled, "user_id", f"{root}/published", 5_000)
-    _ingest_events(spark, root, f"{root}/published", "first")
+    ingest_events(spark, root, f"{root}/published", "first")
     return spark.read.parquet(f"{root}/bronze").select(
         "ano",
         "event_id",
@@ -618,7 +621,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An empty batch leaves nothing behind; the next one is written."""
     root = scratch_path(spark, "stream")
-    records = spark.read.parquet(_published_events(spark, sf_dir, root))
+    records = spark.read.parquet(published_events(spark, sf_dir, root))
     write = batch_writer(EVENT_PAYLOAD, "events", f"{root}/bronze", "first", lambda: RUN)
     write(records.limit(0), 0)
     written = read_if_present(spark, f"{root}/bronze") is not None
@@ -630,7 +633,7 @@ def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream on an interval: started, asked for its state, stopped; rows ingested by year."""
     root = scratch_path(spark, "stream")
-    records = file_records(spark, _published_events(spark, sf_dir, root))
+    records = file_records(spark, published_events(spark, sf_dir, root))
     write = batch_writer(EVENT_PAYLOAD, "events", f"{root}/bronze", "first", lambda: RUN)
     running = start_ingest(records, write, f"{root}/checkpoint", every="1 second")
     try:
@@ -647,10 +650,8 @@ def stream_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source files and a stream through all layers; the analytical table as stored."""
-    root = scratch_path(spark, "layers")
-    store = Store(spark, root)
+def export_star_sources(spark: SparkSession, sf_dir: str, store: Store) -> None:
+    """The published tables and the dimensions as source files of the layers."""
     for name, table in star.published(spark, sf_dir).items():
         schema = next(c.source_schema for c in star.CONTRACTS if c.name == name)
         source = store.path("arquivos", f"{L.SOURCE_PREFIX}{name}.csv")
@@ -664,7 +665,14 @@ def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         places.select(*[F.col(ours).alias(theirs) for theirs, ours in L.STATES.columns]),
         store.path("arquivos", L.STATES.source_file),
     )
-    for _ in range(2):  # the second call finds all records there and writes none
+
+
+def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source files and a stream through all layers; the analytical table as stored."""
+    root = scratch_path(spark, "layers")
+    store = Store(spark, root)
+    export_star_sources(spark, sf_dir, store)
+    for _ in range(2):  # the second call finds all ranges noted and writes none
         publish(star.students(spark, sf_dir), "id_aluno", f"{root}/published", 50_000)
     handler = batch_writer(
         L.STUDENT_PAYLOAD, "students", store.path("bronze", L.STUDENT), "first", lambda: RUN

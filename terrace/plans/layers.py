@@ -35,17 +35,36 @@ SOURCE, RAW, CONFORMED, ANALYTICAL, QUARANTINE = (
 COPIES = "_copies_of_key"
 
 
+def of_years(df: DataFrame, years: Sequence[str] | None, column: str = "ano") -> DataFrame:
+    """Rows of these years, named as in paths; all of them if none are named.
+
+    The year is compared as a number, so that the filter reaches the partitions.
+    """
+    if years is None or column not in df.columns:
+        return df
+    numbers = [int(y) for y in years if y.isdigit()]
+    wanted = F.col(column).isin(numbers)
+    if len(numbers) < len(years):  # rows without a year have a partition of their own
+        wanted = wanted | F.col(column).isNull()
+    return df.filter(wanted)
+
+
 def ingest_entity(
-    store: Store, contract: EntityContract, run: Run, replace_all: bool = False
+    store: Store,
+    contract: EntityContract,
+    run: Run,
+    replace_all: bool = False,
+    years: Sequence[str] | None = None,
 ) -> dict[str, object]:
     """One source file to the raw layer; malformed rows to the quarantine of this run.
 
     The write notices whether there was any malformed row; only then the file is read a
-    second time to store them, so a clean file is read once.
+    second time to store them, so a clean file is read once. With ``years`` only rows of
+    these years are written.
     """
     source = store.path(SOURCE, contract.source_file)
     rows = read_csv(store.spark, source, contract.source_schema)
-    rows = raw_lineage(rows, run, contract.source_file, file_path())
+    rows = of_years(raw_lineage(rows, run, contract.source_file, file_path()), years)
     noticed = Observation()
     figures = write_layer(
         valid_rows(rows.observe(noticed, F.count_if(F.col(CORRUPT).isNotNull()).alias("n"))),
@@ -108,9 +127,12 @@ def conform_entity(
     dimension_tables: Mapping[str, DataFrame],
     run: Run,
     replace_all: bool = False,
+    years: Sequence[str] | None = None,
 ) -> dict[str, object] | None:
     """Raw to conformed layer, with the quality figures taken by the write itself.
 
+    With ``years`` only these are read and replaced.
+
     Rows with a null in the key go to the quarantine of this run; they are read a second
     time only if the write noticed some.
     """
@@ -118,6 +140,7 @@ def conform_entity(
     if raw is None:
         log.warning("no raw table, skipped: %s", contract.name)
         return None
+    raw = of_years(raw, years)
     keyless = Observation()
     table = conform(raw, contract, dimensions, dimension_tables, run, COPIES, keyless)
     figures = write_layer(
@@ -155,9 +178,14 @@ def build_analytical(
     contracts: Sequence[EntityContract] = L.CONTRACTS,
     composites: Sequence[CompositeGroup] = L.COMPOSITES,
     replace_all: bool = False,
+    years: Sequence[str] | None = None,
 ) -> dict[str, object]:
-    """Conformed tables to the analytical table; fails at once if a required one is missing."""
+    """Conformed tables to the analytical table; fails at once if a required one is missing.
+
+    With ``years`` only these are read and replaced: all its joins are within a year.
+    """
     tables = store.read_present(CONFORMED, [c.name for c in contracts], L.REQUIRED)
+    tables = {name: of_years(table, years) for name, table in tables.items()}
     table = analytical_lineage(analytical_table(tables, composites), run, store.root)
     figures = write_layer(
         table, store.path(ANALYTICAL, L.ANALYTICAL), compact=True, replace_all=replace_all

@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terrace.contracts import PayloadSpec
 from terrace.functions.lineage import Run, raw_lineage
-from terrace.sources.layers import read_if_present, write_layer
+from terrace.sources.layers import write_layer
+from terrace.streaming.compaction import read_batches
 from terrace.streaming.records import RECORD_SCHEMA, VALID, parse_records
 
 LAYOUT = ("run", "batch_id", "record_status", "raw_record")
@@ -30,7 +31,7 @@ def file_records(spark: SparkSession, path: str, files_per_batch: int | None = N
     reader = spark.readStream.schema(RECORD_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*RECORD_SCHEMA.names)
 
 
 def kafka_records(
@@ -62,13 +63,27 @@ def batch_writer(
     ``compact`` shuffles the batch by partition first, for a stream of small batches
     that would otherwise leave a file per task and year; a backlog does without.
     """
+    parse = lambda batch: parse_records(batch, spec)
+    return rows_writer(parse, spec, entity, out, label, clock, compact)
+
+
+def rows_writer(
+    parse: Callable[[DataFrame], DataFrame],
+    spec: PayloadSpec,
+    entity: str,
+    out: str,
+    label: str,
+    clock: Callable[[], Run] = Run,
+    compact: bool = False,
+) -> Callable[[DataFrame, int], None]:
+    """The handler of batches that ``parse`` turns into rows with a ``record_status``."""
     if not re.fullmatch(r"[A-Za-z][\w-]*", label):
         raise ValueError("a run label starts with a letter, so that it is read back as text")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        rows = raw_lineage(parse_records(batch, spec), clock(), entity, f"stream:{entity}")
+        rows = raw_lineage(parse(batch), clock(), entity, f"stream:{entity}")
         write_layer(
             rows,
             f"{out}/run={label}/batch_id={batch_id}",
@@ -116,7 +131,7 @@ def stop_ingest(query: StreamingQuery) -> None:
 
 def read_ingested(spark: SparkSession, out: str) -> DataFrame | None:
     """Valid records of all runs, without the columns of the directory layout."""
-    stored = read_if_present(spark, out)
+    stored = read_batches(spark, out)
     if stored is None:
         return None
     return stored.filter(F.col("record_status") == VALID).drop(*LAYOUT)
@@ -124,7 +139,7 @@ def read_ingested(spark: SparkSession, out: str) -> DataFrame | None:
 
 def read_rejected(spark: SparkSession, out: str) -> DataFrame | None:
     """What was no record, as it came, with the run and batch it came in."""
-    stored = read_if_present(spark, out)
+    stored = read_batches(spark, out)
     if stored is None:
         return None
     return stored.filter(F.col("record_status") != VALID).select(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.contracts import PayloadSpec
 from terrace.operators.clean import type_payload, typed_value
-from terrace.sources.layers import read_if_present
 
 RECORD_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("data", T.BinaryType())]
@@ -17,31 +18,27 @@ CORRUPT = "_corrupt_record"
 VALID, REJECTED = "valid", "rejected"
 
 
-def to_records(df: DataFrame, key: str, default_key: str = "default") -> DataFrame:
-    """One record per row: its id as key, all its columns as JSON."""
+def to_records(
+    df: DataFrame, key: str, default_key: str = "default", omit: Sequence[str] = ()
+) -> DataFrame:
+    """One record per row: its id as key, all its columns as JSON.
+
+    Columns of ``omit`` are not in the JSON but stay next to it.
+    """
     key_value = F.col(key).cast("string") if key in df.columns else F.lit(None).cast("string")
-    payload = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    columns = [c for c in df.columns if c not in omit]
+    payload = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
     return df.select(
         F.coalesce(key_value, F.lit(default_key)).alias("key"),
         payload.cast("binary").alias("data"),
+        *omit,
     )
 
 
-def publish(df: DataFrame, key: str, path: str, records_per_file: int = 1_000_000) -> None:
-    """Write the rows as record files, each of which is one bounded batch for a replay.
-
-    Records that are there already are not written again, so a call after a failure goes on
-    where the last one stopped and a second call writes nothing.
-    """
-    records = to_records(df, key)
-    present = read_if_present(df.sparkSession, path)
-    if present is not None:
-        records = records.join(present, ["key", "data"], "left_anti")
-    records.write.mode("append").option("maxRecordsPerFile", records_per_file).parquet(path)
-
-
-def parse_records(records: DataFrame, spec: PayloadSpec, data: str = "data") -> DataFrame:
-    """Flatten and type the payload, and mark what is no record.
+def parse_records(
+    records: DataFrame, spec: PayloadSpec, data: str = "data", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Flatten and type the payload, and mark what is no record. Columns of ``keep`` stay.
 
     ``record_status`` is ``rejected`` for text that is no JSON object or has none of the
     fields, and where a typed field or the year has text that does not fit; only then
@@ -53,10 +50,11 @@ def parse_records(records: DataFrame, spec: PayloadSpec, data: str = "data") ->
     parsed = records.select(
         text.alias("raw_record"),
         F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("payload"),
-    ).select("payload.*", "raw_record")
+        *keep,
+    ).select("payload.*", "raw_record", *keep)
     nothing = F.coalesce(*[F.col(c) for c in spec.fields]).isNull()
     year = F.nullif(F.col(spec.partition_by), F.lit(""))
-    no_year = ~year.rlike("^[0-9]{1,4}$")
+    no_year = ~year.rlike(r"^[0-9]{1,4}\z")
     typed = dict(spec.typed)
     misfits = [
         F.nullif(F.col(c), F.lit("")).isNotNull() & typed_value(c, kind).isNull()
@@ -72,5 +70,6 @@ def parse_records(records: DataFrame, spec: PayloadSpec, data: str = "data") ->
         ],
         F.when(rejected, F.col("raw_record")).alias("raw_record"),
         F.when(rejected, REJECTED).otherwise(VALID).alias("record_status"),
+        *keep,
     )
     return type_payload(marked, spec)

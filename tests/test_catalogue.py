@@ -6,8 +6,8 @@ import os
 import duckdb
 import pytest
 
-from terrace.plans.catalogue import QUERIES
-from terrace.plans.oracle import ORACLE
+import __spark_entry__ as entry
+from terrace.plans.queries import ORACLE, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 TYPES = {
