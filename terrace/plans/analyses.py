@@ -7,6 +7,7 @@ so hundredths are whole numbers and every sum is exact, whatever the order of th
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,7 +112,8 @@ def inequality(
     steps = [F.col("squares_up"), *[F.col(c) for c in names], overall]
     labels = [f"within_{levels[0]}", *[f"between_{x}" for x in levels]]
     # Of hundredths squared, so ten thousand to a point squared.
-    scaled = lambda c: (c / F.lit(10 ** (PLACES + 4))).cast("decimal(38,10)")
+    point = F.lit(Decimal(1).scaleb(-PLACES - 4))
+    scaled = lambda c: c.cast("decimal(27,0)") * point  # noqa: E731  exact: 38 digits, ten of them decimals
     parts = [scaled(steps[i] - steps[i + 1]).alias(name) for i, name in enumerate(labels)]
     return result.select(*keep, "n", scaled(steps[0] - steps[-1]).alias("squares_total"), *parts)
 
