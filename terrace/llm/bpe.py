@@ -20,8 +20,6 @@ from pyspark.sql import types as T
 from terrace.llm import pretokens
 from terrace.llm.common import slices, text_slices
 
-#: Distinct pieces that a worker remembers before it starts anew.
-REMEMBERED = 400_000
 #: Lists of ids that are decoded at once.
 ROWS = 500
 
@@ -54,41 +52,23 @@ def class_table() -> np.ndarray:
 
 
 class Codec:
-    """Ids of texts and bytes of ids. Pieces are merged once as long as they are remembered."""
-
-    def __init__(self, ranks: dict[bytes, int], table: np.ndarray, remembered: int = REMEMBERED):
-        self.table, self.remembered = table, remembered
-        self.merge = _encoding("(?s:.+)", ranks)._encode_single_piece  # a piece is not split again
-        size = max(ranks.values()) + 1
-        tokens = [b""] * size
+    """Ids of texts and bytes of ids."""
+
+    def __init__(
+        self, ranks: dict[bytes, int], table: np.ndarray, remembered: int = pretokens.REMEMBERED
+    ) -> None:
+        # A piece is not split again.
+        merge = _encoding("(?s:.+)", ranks)._encode_single_piece
+        self.pieces = pretokens.PieceIds(table, merge, remembered)
+        tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token
         self.tokens = pa.array(tokens, pa.large_binary())
-        self.known: dict[bytes, np.ndarray] = {}
 
     def encode(self, texts: pa.Array) -> pa.LargeListArray:
         """A list of ids for every text; none for a null or empty one."""
-        found, counts = pretokens.pieces(texts.fill_null(""), self.table)
-        coded = found.dictionary_encode()
-        if len(self.known) > self.remembered:
-            self.known = {}
-        known, merge = self.known, self.merge
-        distinct = coded.dictionary.to_pylist()
-        ids = []
-        for piece in distinct:
-            own = known.get(piece)
-            if own is None:
-                own = known[piece] = np.array(merge(piece), np.int32)
-            ids.append(own)
-        flat = np.concatenate([np.zeros(0, np.int32), *ids])
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        starts = np.cumsum(sizes) - sizes
-        index = coded.indices.to_numpy()
-        lengths = sizes[index]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        at = np.repeat(starts[index] - ends[:-1], lengths) + np.arange(ends[-1])
-        offsets = ends[np.concatenate([[0], np.cumsum(counts)])]
-        return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(flat[at]))
+        ends, ids = self.pieces.encode(texts.fill_null(""))
+        return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(ids))
 
     def decode(self, ids: pa.LargeListArray) -> pa.Array:
         """The bytes that each list of ids stands for."""

@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 
 CODE_POINTS = 0x110000
+#: Distinct pieces that a worker remembers before it starts anew.
+REMEMBERED = 400_000
 
 #: Classes of code points. END stands after every text.
 LETTER, NUMBER, OTHER, BLANK, SPACE, QUOTE, SINGLE, R_OR_V, E, L, END = range(11)
@@ -173,3 +175,37 @@ def pieces(texts: pa.Array, table: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), whole]
     )
     return found, np.diff(counts)
+
+
+class PieceIds:
+    """Ids of texts, piece by piece. A batch has each distinct piece once, and the ids of a piece
+    are made once as long as it is remembered."""
+
+    def __init__(
+        self, table: np.ndarray, merge: Callable[[bytes], list[int]], remembered: int = REMEMBERED
+    ) -> None:
+        self.table, self.merge, self.remembered = table, merge, remembered
+        self.known: dict[bytes, list[int]] = {}
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's ids end, with a 0 in front, and all ids. ``texts`` has no nulls."""
+        found, counts = pieces(texts, self.table)
+        coded = found.dictionary_encode()
+        if len(self.known) > self.remembered:
+            self.known = {}
+        known, merge = self.known, self.merge
+        flat: list[int] = []
+        sizes = []
+        for piece in coded.dictionary.to_pylist():
+            own = known.get(piece)
+            if own is None:
+                own = known[piece] = merge(piece)
+            flat += own
+            sizes.append(len(own))
+        ids, lengths = np.array(flat, np.int32), np.array(sizes, np.int64)
+        starts = np.cumsum(lengths) - lengths
+        index = coded.indices.to_numpy()
+        lengths = lengths[index]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(starts[index] - ends[:-1], lengths) + np.arange(ends[-1])
+        return ends[np.concatenate([[0], np.cumsum(counts)])], ids[at]

@@ -14,8 +14,6 @@ from __future__ import annotations
 import codecs
 import itertools
 import json
-import re
-import string
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -27,15 +25,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import slices
+from terrace.llm import pretokens
+from terrace.llm.common import text_slices
 from terrace.sources.scratch import scratch_path
 
 END_ID = 0
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2000
-#: Distinct words whose ids a worker remembers; beyond that it keeps those met repeatedly.
-REMEMBERED = 300_000
-
-
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -49,213 +44,108 @@ _OTHERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _P
 _BYTES = "".join(chr(_OTHERS.get(b, b)) for b in range(256))
 
 
-#: A blank that may belong to what precedes it: before white space, or at the end. A line
-#: break before white space other than a blank, which may belong to that.
-_UNCERTAIN = (
-    r" (?:$|[\x09-\x0D\x1C-\x1F\x{85}]|\pZ)"
-    r"|\n(?:[\x09-\x0D\x1C-\x1F\x{85}]|[^\PZ ])"
-)
-_TAIL = string.punctuation
-#: Latin letters beyond ASCII, among others.
-_LATIN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
+def _matches(pattern: str, text: str) -> list[str]:
+    """One-character matches, by the regular expressions that the library splits texts with."""
+    from tokenizers import Regex, pre_tokenizers
 
+    kept = np.ones(len(text), bool)
+    for _, (start, end) in pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text):
+        kept[start:end] = False  # these runs do not match
+    return [text[i] for i in np.flatnonzero(kept)]
 
-def _is_plain(word: str) -> bool:
-    return word.isalpha() if word.isascii() else _LATIN.fullmatch(word) is not None
 
+def class_table() -> np.ndarray:
+    """Classes of all code points, by the library's own edition of Unicode; a megabyte."""
+    return pretokens.class_table(*pretokens.masks(_matches))
 
-def _room(values: np.ndarray, used: int, more: int) -> np.ndarray:
-    """The array, or a longer one that has room for more values after the used ones."""
-    if used + more <= len(values):
-        return values
-    return np.concatenate([values, np.zeros(max(more, len(values) // 2), values.dtype)])
 
+def splits_like_pretokens(parts: dict) -> bool:
+    """Whether a tokenizer file is byte-level with the common pattern, and nothing else."""
+    before, model = parts.get("pre_tokenizer") or {}, parts["model"]
+    return (
+        model.get("type") == "BPE"
+        and before.get("type") == "ByteLevel"
+        and before.get("use_regex", True)
+        and not (before.get("add_prefix_space") or parts.get("normalizer"))
+        and not (model.get("ignore_merges") or model.get("dropout"))
+    )
 
-class Encoder:
-    """Ids of whole texts, each distinct word encoded once as long as it is remembered.
 
-    A byte-level tokenizer never joins a character to a blank that follows it, and a blank
-    before a character that is no white space begins a new piece. So a text may be cut
-    before every such blank: the ids of its parts are the ids of the text. The same holds
-    for a line break that no white space but a blank follows: it is a piece of its own.
-    Other texts are encoded whole, and so are all texts if the tokenizer is of another kind.
+class Encoder:
+    """Ids of whole texts, as the tokenizer of a file gives them.
 
-    A part of letters only is one piece, which goes to the merges at once; punctuation
-    that ends a part is another piece. What is neither takes the tokenizer's whole way.
+    Pieces are found by :mod:`pretokens` and merged by the library's model, each distinct one
+    once as long as it is remembered. A text with one of the tokenizer's added tokens goes to
+    the tokenizer as it is, and so do all texts if it is of another kind.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+    def __init__(
+        self, content: str, table: np.ndarray | None, remembered: int = pretokens.REMEMBERED
+    ) -> None:
         from tokenizers import Tokenizer, models
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        with open(path, encoding="utf-8") as f:
-            parts = json.load(f)
-        before, model = parts.get("pre_tokenizer") or {}, parts["model"]
-        self.byte_level = (
-            model.get("type") == "BPE"
-            and before.get("type") == "ByteLevel"
-            and not (before.get("add_prefix_space") or parts.get("normalizer"))
-            and not (model.get("ignore_merges") or model.get("dropout"))
-        )
-        if self.byte_level:
+        self.tokenizer, parts = Tokenizer.from_str(content), json.loads(content)
+        self.added = [t["content"] for t in parts.get("added_tokens") or []]
+        self.pieces: pretokens.PieceIds | None = None
+        if table is not None and splits_like_pretokens(parts):
+            model = parts["model"]
             merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
-            # Words are remembered here, so the model need not keep them as well.
-            self.merge = models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0).tokenize
-        self.remembered = remembered
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.lengths = np.zeros(1024, np.int64)
-        self.starts = np.zeros(1024, np.int64)
-        self.met = np.zeros(1024, np.int32)
-        self.ids = np.zeros(4096, np.int32)
-        self.used = 0
-
-    def forget_rare(self) -> None:
-        """Keep what was met more than once since the last time; nothing if that is most of it."""
-        n = len(self.place)
-        kept = np.flatnonzero(self.met[:n] > 1)
-        if len(kept) > self.remembered // 2:
-            return self.forget()
-        often = (self.met[:n] > 1).tolist()
-        words = list(itertools.compress(self.place, often))  # in the order of their places
-        lengths, starts, ids = self.lengths[kept], self.starts[kept], self.ids
-        self.forget()
-        sizes = np.cumsum(lengths) - lengths
-        self.used = int(lengths.sum())
-        self.ids = ids[np.repeat(starts - sizes, lengths) + np.arange(self.used)]
-        self.lengths, self.starts = lengths, sizes
-        self.met = np.zeros(len(kept), np.int32)
-        self.place = dict(zip(words, range(len(words)), strict=True))
+            # Pieces are remembered here, so the model need not keep them as well.
+            merge = models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0).tokenize
+
+            def ids(piece: bytes) -> list[int]:
+                return [t.id for t in merge(codecs.charmap_decode(piece, "strict", _BYTES)[0])]
+
+            self.pieces = pretokens.PieceIds(table, ids, remembered)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of ids of each part of a text, and all these ids.
-
-        A part begins with its blank or line break, if it has one.
-        """
-        merge, flat, sizes = self.merge, [], []
-        merged: dict[str, list[int]] = {}
-        rest: list[tuple[int, str]] = []
-        line = [t.id for t in merge(_BYTES[10])]
-        for part in words:
-            broken = part[0] == "\n" if part else False
-            word = part[1:] if broken else part
-            letters = word.rstrip(_TAIL)
-            ids = merged.get(letters)
-            if ids is None:
-                if not _is_plain(letters[1:] if letters[:1] == " " else letters):
-                    rest.append((len(sizes), part))
-                    sizes.append(0)
-                    continue
-                known = self.place.get(letters)
-                if known is None:
-                    coded, _ = codecs.charmap_decode(letters.encode(), "strict", _BYTES)
-                    ids = [t.id for t in merge(coded)]
-                else:
-                    start = self.starts[known]
-                    ids = self.ids[start : start + self.lengths[known]].tolist()
-                merged[letters] = ids
-            if len(letters) < len(word):
-                tail = word[len(letters) :]
-                if tail not in merged:
-                    merged[tail] = [t.id for t in merge(tail)]
-                ids = ids + merged[tail]
-            if broken:
-                ids = line + ids
-            flat += ids
-            sizes.append(len(ids))
-        if not rest:
-            return np.array(sizes, np.int64), np.array(flat, np.int32)
-        others = self.whole([word for _, word in rest])
-        into = np.cumsum(sizes)[[i for i, _ in rest]]
-        added = [len(ids) for ids in others]
-        flat = np.insert(
-            np.array(flat, np.int32), np.repeat(into, added), list(itertools.chain(*others))
-        )
-        sizes = np.array(sizes, np.int64)
-        sizes[[i for i, _ in rest]] = added
-        return sizes, flat
-
-    def places(self, words: list[str]) -> np.ndarray:
-        """Where the words' ids are kept; words that are new are encoded."""
-        place = self.place
-        new = [w for w in dict.fromkeys(words) if w not in place]
-        if new:
-            sizes, flat = self.words(new)
-            first, n = len(place), len(new)
-            for name in ("lengths", "starts", "met"):
-                setattr(self, name, _room(getattr(self, name), first, n))
-            self.ids = _room(self.ids, self.used, len(flat))
-            self.lengths[first : first + n] = sizes
-            self.starts[first : first + n] = self.used + np.cumsum(sizes) - sizes
-            self.ids[self.used : self.used + len(flat)] = flat
-            self.used += len(flat)
-            place.update(zip(new, range(first, first + n), strict=True))
-        found = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        self.met[found] += 1
-        return found
-
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """The ids of every text and the end id; a null text has the end id only."""
-        if len(self.place) > self.remembered:
-            self.forget_rare()
         texts = pc.fill_null(texts, "")
-        irregular = pc.match_substring_regex(texts, _UNCERTAIN).to_numpy(zero_copy_only=False)
-        if not self.byte_level:
-            irregular = np.ones(len(texts), bool)
-        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
-        sizes = pc.list_value_length(parts).to_numpy()
-        firsts = np.cumsum(sizes) - sizes
-        flat = pc.list_flatten(parts)
-        doc = np.repeat(np.arange(len(texts)), sizes)
-        coded = flat.dictionary_encode()
-        index = coded.indices.to_numpy()
-        later = np.ones(len(index), bool)
-        later[firsts] = False
-        later &= ~irregular[doc]
-        needed = np.zeros(len(coded.dictionary), bool)
-        needed[index[later]] = True
-        words = coded.dictionary.filter(pa.array(needed)).to_pylist()
-        at = np.zeros(len(needed), np.int64)
-        at[needed] = self.places([w if w[:1] == "\n" else " " + w for w in words])
-        place = at[index]
-        regular = np.flatnonzero(~irregular)
-        place[firsts[regular]] = self.places(flat.take(pa.array(firsts[regular])).to_pylist())
-        lengths = self.lengths[place] if len(self.place) else np.zeros(len(place), np.int64)
-        lengths[irregular[doc]] = 0
-        rest = np.flatnonzero(irregular)
+        apart = np.full(len(texts), self.pieces is None)
+        for token in self.added:
+            apart |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        rest = np.flatnonzero(apart)
         own = self.whole(texts.take(pa.array(rest)).to_pylist())
-        totals = np.bincount(doc, lengths, len(texts)).astype(np.int64)
+        if self.pieces is None:
+            ends, ids = np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int32)
+        else:
+            ends, ids = self.pieces.encode(pc.if_else(pa.array(apart), "", texts) if len(rest) else texts)
+        totals = np.diff(ends)
         totals[rest] = [len(x) for x in own]
         offsets = np.append(0, np.cumsum(totals + 1))
         out = np.full(offsets[-1], END_ID, np.int32)
-        # The ids of all parts follow each other, but for the end ids and the texts encoded whole.
         taken = np.zeros(len(out), bool)
         taken[offsets[1:] - 1] = True
-        for i in rest:
-            taken[offsets[i] : offsets[i + 1]] = True
-        before = np.cumsum(lengths) - lengths
-        at_ids = np.repeat(self.starts[place] - before, lengths)
-        at_ids += np.arange(len(at_ids))
-        out[~taken] = self.ids[at_ids]
-        for i, ids in zip(rest, own, strict=True):
-            out[offsets[i] : offsets[i] + len(ids)] = ids
+        for i, found in zip(rest, own, strict=True):
+            out[offsets[i] : offsets[i] + len(found)] = found
+            taken[offsets[i] : offsets[i] + len(found)] = True
+        out[~taken] = ids
         return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out))
 
 
+#: The worker's encoder, by the content of its file; it lives as long as the worker.
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder; it lives as long as the worker, and its memory is bounded."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def shared_encoder(spark: SparkSession, path: str):
+    """A function that gives a worker its encoder. The driver alone reads the file, and sends it
+    with the class table: two megabytes or so, whatever the documents are."""
+    with open(path, encoding="utf-8") as f:
+        content = f.read()
+    plain = splits_like_pretokens(json.loads(content))
+    sent = spark.sparkContext.broadcast((content, class_table() if plain else None))
+
+    def encoder() -> Encoder:
+        content, table = sent.value
+        if content not in _encoders:
+            _encoders.clear()
+            _encoders[content] = Encoder(content, table)
+        return _encoders[content]
+
+    return encoder
 
 
 def encoded(docs: DataFrame, order: Sequence[Column], tokenizer: str | None = None) -> DataFrame:
@@ -263,7 +153,7 @@ def encoded(docs: DataFrame, order: Sequence[Column], tokenizer: str | None = No
 
     ``part_start`` is the number of ids before the document in its partition.
     """
-    path = tokenizer or default_tokenizer()
+    own = shared_encoder(docs.sparkSession, tokenizer or default_tokenizer())
     schema = T.StructType(
         [
             docs.schema["doc_id"],
@@ -275,8 +165,8 @@ def encoded(docs: DataFrame, order: Sequence[Column], tokenizer: str | None = No
     )
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, done, tokens = TaskContext.get().partitionId(), 0, encoder(path)
-        for batch in slices(batches, 1500):
+        part, done, tokens = TaskContext.get().partitionId(), 0, own()
+        for batch in text_slices(batches, "text"):
             ids = tokens.encode(batch.column("text"))
             n = pc.list_value_length(ids).to_numpy().astype(np.int64)
             starts = done + np.cumsum(n) - n

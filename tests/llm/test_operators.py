@@ -234,9 +234,15 @@ def test_mixing(docs, rows, empty):
     assert mixing.mixed(empty).isEmpty()
 
 
+def _library_ids(text):
+    """By the library alone, with its file as it is loaded: added tokens are tokens."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokens.default_tokenizer()).encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("delta", [False, True])
 def test_tokens_round_trip(spark, docs, rows, empty, tmp_path, delta):
-    tokenizer = tokens.Encoder(tokens.default_tokenizer())
     path = str(tmp_path / "ids")
     found = tokens.stored_tokens(docs, path=path, delta=delta)
     at = 0
@@ -245,7 +251,7 @@ def test_tokens_round_trip(spark, docs, rows, empty, tmp_path, delta):
     for doc_id, start, n, crc in got:
         choices = {
             (len(ids) + 1, zlib.crc32(np.array([*ids, 0], "<u4").tobytes()))
-            for r in rows if r[0] == doc_id for ids in tokenizer.whole([r[1] or ""])
+            for r in rows if r[0] == doc_id for ids in [_library_ids(r[1] or "")]
         }
         assert start == at and (n, crc) in choices
         at += n
@@ -259,9 +265,47 @@ def test_encoder_agrees_with_the_tokenizer_and_forgets():
     draw = random.Random(9)
     pieces = ["a", "the", "Ünï", "日本", "it's", "'s", " ", "  ", "\n", "\t", " ", " ", "1", "x1", "%%%", "!!", "word,", "(", "😀", "<|endoftext|>"]
     texts = ["".join(draw.choice(pieces) for _ in range(draw.randint(0, 30))) for _ in range(3000)]
-    encoder = tokens.Encoder(tokens.default_tokenizer(), remembered=50)
-    got = [ids for at in range(0, 3000, 500) for ids in encoder.encode(pa.array(texts[at : at + 500])).to_pylist()]
-    assert got == [[*ids, 0] for ids in encoder.whole(texts)]
+    with open(tokens.default_tokenizer(), encoding="utf-8") as f:
+        content = f.read()
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.default_tokenizer())
+    expected = [[*e.ids, 0] for e in plain.encode_batch(texts, add_special_tokens=False)]
+    for table in (tokens.class_table(), None):  # without classes all texts take the library's way
+        encoder = tokens.Encoder(content, table, remembered=50)
+        got = [ids for at in range(0, 3000, 500) for ids in encoder.encode(pa.array(texts[at : at + 500])).to_pylist()]
+        assert got == expected
+    assert encoder.encode(pa.array([None, ""], pa.string())).to_pylist() == [[0], [0]]
+
+
+def test_an_added_token_is_one_id():
+    assert _library_ids("a <|endoftext|> b") == [64, 220, 50256, 275]
+
+
+@pytest.mark.parametrize("delta", [False, True])
+def test_layout_of_token_files(spark, tmp_path, delta):
+    """What the footers say: encodings, row groups, pages and their indexes."""
+    import pyarrow.parquet as pq
+
+    made = [(i, _prose(i, 60)) for i in range(3000)]
+    frame = spark.createDataFrame(made, "doc_id bigint, text string").coalesce(1)
+    path = str(tmp_path / "ids")
+    tokens.write_tokens(frame, path, delta=delta, row_group_bytes=100_000, page_bytes=4096, page_rows=100)
+    files = [f for f in tmp_path.rglob("*.parquet") if pq.ParquetFile(f).metadata.num_rows]
+    groups = 0
+    for file in files:
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            groups += 1
+            columns = {meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c) for c in range(meta.num_columns)}
+            ids = columns["ids.list.element"]
+            assert ids.has_offset_index and columns["doc_id"].has_column_index and columns["doc_id"].has_offset_index
+            assert ("DELTA_BINARY_PACKED" in ids.encodings) == delta
+            assert any("DICTIONARY" in e for e in ids.encodings) != delta
+    assert groups > len(files)
+    wanted = spark.read.parquet(path).filter("doc_id between 70 and 75").select("doc_id", "n_tokens")
+    assert wanted.count() == 6
+    assert "ids" not in wanted._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
 
 
 def test_line_dedup(docs, rows, empty):
@@ -351,9 +395,9 @@ def test_pipeline_against_plain_python(spark, docs, benchmark, labels, tmp_path)
     placed = mixing.scheduled(unique.filter(F.col("doc_id").isin(list(kept)))).collect()
     order = [r["doc_id"] for r in sorted(placed, key=lambda r: (r["mix_slot"], r["mix_start"], r["doc_id"]))]
     assert [r["doc_id"] for r in stage.collect()] == order
-    encoder, at, expected = tokens.Encoder(tokens.default_tokenizer()), 0, []
+    at, expected = 0, []
     for i in order:
-        ids = [*encoder.whole([given[i]["text"]])[0], 0]
+        ids = [*_library_ids(given[i]["text"]), 0]
         expected.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
     assert _collect(corpus_pipeline.run(spark, where)) == sorted(expected)
