@@ -30,6 +30,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or a longer one if the table has a column of that name, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(doc_id: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text, fold 0."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

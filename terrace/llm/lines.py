@@ -26,7 +26,7 @@ def _lines(text: Column) -> Column:
 
 def _hash(line: Column) -> Column:
     """Hash of the line without white space at its ends; null for a blank line."""
-    trimmed = F.regexp_replace(line, rf"^{SPACE}+|{SPACE}+$", "")
+    trimmed = F.regexp_replace(line, rf"\A{SPACE}+|{SPACE}+\z", "")
     return F.when(trimmed != "", F.xxhash64(trimmed))
 
 

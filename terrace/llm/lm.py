@@ -104,7 +104,12 @@ def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 REQUEST = "shard int, chunk bigint, role int, keys array<bigint>, counts array<int>"
-ANSWER = "shard int, chunk bigint, rest array<int>, all array<int>, sizes array<bigint>"
+ANSWER = (
+    "shard int, chunk bigint, rest array<int>, all array<int>, sizes array<bigint>,"
+    " rest_wide array<bigint>, all_wide array<bigint>"
+)
+#: The largest count that is answered in 32 bits; a shard with a larger one answers in 64.
+NARROW = np.iinfo(np.int32).max
 
 
 def requests(chunked: DataFrame, order: int, shards: int) -> DataFrame:
@@ -134,7 +139,8 @@ def requests(chunked: DataFrame, order: int, shards: int) -> DataFrame:
 def answers(asked: DataFrame) -> DataFrame:
     """Per request the counts in ``all`` training documents, and in ``rest``, the counted ones.
 
-    ``rest`` is empty for requests of documents that are not held out.
+    ``rest`` is empty for requests of documents that are not held out. A shard with a count
+    beyond 32 bits has its answers in ``all_wide`` and ``rest_wide``; else these are empty.
 
     One more row a shard, of chunk -1, has in ``sizes`` the tokens and their types, of the
     counted documents and of all training ones.
@@ -146,19 +152,29 @@ def answers(asked: DataFrame) -> DataFrame:
         role = np.repeat(table["role"].to_numpy(), pc.list_value_length(keys).to_numpy())
         flat = keys.flatten().to_numpy().view(np.uint64)
         distinct, inverse = np.unique(flat, return_inverse=True)
-        rest = np.bincount(inverse, np.where(role == COUNTED, counts, 0), len(distinct))
-        both = np.bincount(inverse, np.where(role == SCORED, 0, counts), len(distinct))
+        # Sums of doubles, which hold whole numbers up to 2**53.
+        rest = np.bincount(inverse, np.where(role == COUNTED, counts, 0), len(distinct)).astype(np.int64)
+        both = np.bincount(inverse, np.where(role == SCORED, 0, counts), len(distinct)).astype(np.int64)
         token = (distinct & _ONE) == 1
         lengths = pc.list_value_length(keys).to_numpy()
         offsets = pa.array(np.append(np.append(0, np.cumsum(lengths)), len(flat)).astype(np.int32))
         n = len(lengths)
-        answer = pa.ListArray.from_arrays(offsets, pa.array(both[inverse].astype(np.int32)))
+        wide = bool(both.max(initial=0) > NARROW)
+
+        def lists(ends: pa.Array, values: np.ndarray) -> list[pa.Array]:
+            """Narrow and wide lists, of which one kind is empty."""
+            none = pa.array([[]] * (n + 1), pa.list_(pa.int32() if wide else pa.int64()))
+            kind = np.int64 if wide else np.int32
+            full = pa.ListArray.from_arrays(ends, pa.array(values.astype(kind)))
+            return [none, full] if wide else [full, none]
+
+        answer, answer_wide = lists(offsets, both[inverse])
         # Only what is held out is ever estimated without itself.
         held = table["role"].to_numpy() == HELD
         own = np.where(held, lengths, 0)
-        part = rest[inverse[np.repeat(held, lengths)]].astype(np.int32)
+        part = rest[inverse[np.repeat(held, lengths)]]
         ends = np.append(np.append(0, np.cumsum(own)), len(part)).astype(np.int32)
-        without = pa.ListArray.from_arrays(pa.array(ends), pa.array(part))
+        without, without_wide = lists(pa.array(ends), part)
         sizes = [f(x[token]) for x in (rest, both) for f in (np.sum, np.count_nonzero)]
         return pa.table(
             {
@@ -167,6 +183,8 @@ def answers(asked: DataFrame) -> DataFrame:
                 "rest": without,
                 "all": answer,
                 "sizes": pa.array([None] * n + [[int(x) for x in sizes]], pa.list_(pa.int64())),
+                "rest_wide": without_wide,
+                "all_wide": answer_wide,
             }
         )
 
@@ -176,7 +194,10 @@ def answers(asked: DataFrame) -> DataFrame:
 def _aligned(found: Grams, replies: pa.Table, column: str) -> np.ndarray:
     """The answered counts in the order of the chunk's keys."""
     replies = replies.sort_by("shard")
-    flat = replies[column].combine_chunks().flatten().to_numpy()
+    parts = [np.zeros(0, np.int64)]
+    for narrow, wide in zip(replies[column], replies[f"{column}_wide"], strict=True):
+        parts += [x.values.to_numpy() for x in (narrow, wide)]
+    flat = np.concatenate(parts)
     if len(flat) != len(found.keys):
         raise ValueError(f"asked for {len(found.keys)} n-grams, got {len(flat)}")
     return flat
@@ -279,7 +300,7 @@ def scored(
     answered = stored(answers(requests(chunked.select("chunk", "role", "text"), order, shards)), "ngram_counts")
     total = answered.filter("chunk = -1").agg(*[F.sum(F.get("sizes", F.lit(i))) for i in range(4)])
     rest_tokens, rest_types, tokens, types = (int(x or 0) for x in total.first())
-    replies = answered.filter("chunk >= 0").select("shard", "chunk", "rest", "all")
+    replies = answered.filter("chunk >= 0").drop("sizes")
 
     def histogram(texts: pa.Table, counts: pa.Table) -> pa.Table:
         found = grams(texts["text"], order)
@@ -339,6 +360,6 @@ def scored(
 
     return (
         chunked.select("chunk", "doc_id", "held_out", "text")
-        .groupBy("chunk").cogroup(replies.select("shard", "chunk", "all").groupBy("chunk"))
+        .groupBy("chunk").cogroup(replies.drop("rest", "rest_wide").groupBy("chunk"))
         .applyInArrow(score, schema)
     )

@@ -14,6 +14,7 @@ piece begins there, or, where that took a look ahead, one position earlier.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 
 CODE_POINTS = 0x110000
 #: Distinct pieces that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 #: Classes of code points. END stands after every text.
 LETTER, NUMBER, OTHER, BLANK, SPACE, QUOTE, SINGLE, R_OR_V, E, L, END = range(11)
@@ -185,7 +186,7 @@ class PieceIds:
         self, table: np.ndarray, merge: Callable[[bytes], list[int]], remembered: int = REMEMBERED
     ) -> None:
         self.table, self.merge, self.remembered = table, merge, remembered
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}  # the ids as 32-bit integers, which is compact
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Where each text's ids end, with a 0 in front, and all ids. ``texts`` has no nulls."""
@@ -194,15 +195,14 @@ class PieceIds:
         if len(self.known) > self.remembered:
             self.known = {}
         known, merge = self.known, self.merge
-        flat: list[int] = []
-        sizes = []
+        parts = []
         for piece in coded.dictionary.to_pylist():
             own = known.get(piece)
             if own is None:
-                own = known[piece] = merge(piece)
-            flat += own
-            sizes.append(len(own))
-        ids, lengths = np.array(flat, np.int32), np.array(sizes, np.int64)
+                own = known[piece] = array("i", merge(piece)).tobytes()
+            parts.append(own)
+        ids = np.frombuffer(b"".join(parts), np.int32)
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // ids.itemsize
         starts = np.cumsum(lengths) - lengths
         index = coded.indices.to_numpy()
         lengths = lengths[index]

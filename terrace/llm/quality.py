@@ -27,7 +27,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.common import SPACE, stored
+from terrace.llm.common import SPACE, free_name, stored
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: At most this share of a stratum's good documents may be rejected, with this risk of error.
@@ -277,12 +277,17 @@ def judged(
 
 
 def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **risk: float) -> DataFrame:
-    """The documents that the rules keep, with all their columns; repeated rows stay repeated."""
+    """The documents that the rules keep, with all their columns, whatever these are called.
+
+    Null and empty texts go, as they fail the base rules; a null id is matched like any
+    other; repeated rows are kept or go together; an empty table gives an empty one.
+    """
     kept = judged(docs, labels, stratum, **risk).filter("kept")
-    keys = kept.select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_text")).distinct()
+    kept_id, kept_text = free_name(docs, "_kept_id"), free_name(docs, "_kept_text")
+    keys = kept.select(F.col("doc_id").alias(kept_id), F.col("digest").alias(kept_text)).distinct()
     digest = F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))
     return docs.join(
         keys.hint("shuffle_hash"),
-        docs["doc_id"].eqNullSafe(F.col("_kept_id")) & (digest == F.col("_kept_text")),
+        docs["doc_id"].eqNullSafe(F.col(kept_id)) & (digest == F.col(kept_text)),
         "left_semi",
     )

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.llm import resemblance
-from terrace.llm.common import stored, texts
+from terrace.llm.common import free_name, stored, texts
 
 #: Low bit and width of the ring's segments.
 SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
@@ -325,8 +325,9 @@ def one_of_each(
     """
     found = stored(_members(docs, width, seed, block, similarity), "members")
     own = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    keepers = found.filter(own).select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept_id = free_name(docs, "_kept_id")
+    keepers = found.filter(own).select(F.col("doc_id").alias(kept_id)).distinct()
+    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(F.col(kept_id)), "left_semi")
     repeated = found.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows"), F.max(own.cast("int")).alias("own")
     )

@@ -166,7 +166,7 @@ def encoded(docs: DataFrame, order: Sequence[Column], tokenizer: str | None = No
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done, tokens = TaskContext.get().partitionId(), 0, own()
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", 4 << 20):
             ids = tokens.encode(batch.column("text"))
             n = pc.list_value_length(ids).to_numpy().astype(np.int64)
             starts = done + np.cumsum(n) - n

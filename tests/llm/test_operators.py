@@ -402,3 +402,85 @@ def test_pipeline_against_plain_python(spark, docs, benchmark, labels, tmp_path)
         at += len(ids)
     assert _collect(corpus_pipeline.run(spark, where)) == sorted(expected)
     assert set(queries.QUERIES) >= {"pipeline"} and len(queries.QUERIES) == 14
+
+
+def test_columns_of_any_name(spark, docs, labels, benchmark):
+    """Columns called like those that the stages use for themselves."""
+    import corpus_pipeline
+
+    names = ("_kept_id", "_Kept_Text", "digest", "fingerprint", "root", "mix_slot", "row", "key_1")
+    odd = docs.withColumns({n: F.lit(n) for n in names})
+    assert quality.accepted(odd, labels).columns == odd.columns
+    assert simhash.one_of_each(odd).columns == odd.columns
+    assert simhash.one_of_each(odd).count() == simhash.one_of_each(docs).count()
+    assert corpus_pipeline.near_dedup(spark, odd, "").columns == odd.columns
+    assert contamination.without_passages(odd, benchmark).columns == odd.columns
+
+
+def test_lines_keep_separators_that_are_no_line_break(spark):
+    """Only ASCII white space is trimmed, also before a last separator of another kind."""
+    texts = ["abc  " if i % 2 else "abc " for i in range(12)]
+    frame = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    assert lines.without_boilerplate(frame).filter("n_removed > 0").isEmpty()
+
+
+def test_counts_beyond_32_bits(spark):
+    keys = [3, 5]
+    asked = spark.createDataFrame(
+        [(0, 1, lm.COUNTED, keys, [2_000_000_000, 1]), (0, 2, lm.HELD, keys, [2_000_000_000, 2]), (1, 1, lm.COUNTED, [7], [4])],
+        "shard int, chunk bigint, role int, keys array<bigint>, counts array<int>",
+    )
+    found = {(r["shard"], r["chunk"]): r for r in lm.answers(asked).collect()}
+    assert found[0, 1]["all_wide"] == [4_000_000_000, 3] and found[0, 1]["all"] == []
+    assert found[0, 2]["rest_wide"] == [2_000_000_000, 1] and found[1, 1]["all"] == [4] and found[1, 1]["all_wide"] == []
+    assert found[0, -1]["sizes"] == [2_000_000_001, 2, 4_000_000_003, 2]
+
+
+def test_secrets_positions_and_digest(spark, docs, rows):
+    import hashlib
+
+    kinds = [r.kind for r in secrets.BASE_RULES]
+    got = []
+    for r in secrets.find_secrets(docs).collect():
+        base = sorted((f["start"], kinds.index(f["kind"]), f["end"]) for f in r["findings"] if f["kind"] in kinds)
+        joined = ",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in base)
+        got.append((r["doc_id"], hashlib.sha256(joined.encode()).hexdigest()))
+    assert _sorted(got) == _sorted((r[0], brute.base_secrets(r[1])[3]) for r in rows)
+
+
+def test_toxicity_of_rare_terms_in_long_texts(spark):
+    """Terms that few documents have, each once in a text of hundreds of words."""
+    draw, made = random.Random(8), []
+    terms = [a + b for a in ("zorg", "blimp", "quarf", "drex") for b in ("ful", "tard", "ish", "oid")]
+    for i in range(1500):
+        words = _prose(i, draw.randint(150, 500)).split()
+        toxic = draw.random() < 0.15
+        for _ in range(2 * toxic):
+            words[draw.randrange(len(words))] = draw.choice(terms)
+        made.append((i, " ".join(words), int(toxic)))
+    frame = spark.createDataFrame([m[:2] for m in made], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(m[0], m[2]) for m in made], "doc_id bigint, toxic int")
+    found = toxicity.scored(frame, marks).toPandas()
+    own = found[found.held_out]
+    truth = own.doc_id.map({m[0]: m[2] for m in made})
+    assert own.predicted[truth == 1].mean() >= 0.9 and own.predicted[truth == 0].mean() <= 0.01
+
+
+def test_toxicity_score_is_the_model_of_unit_length(spark):
+    ratios, weights = np.zeros(1 << toxicity.BITS), np.zeros(1 << toxicity.BITS)
+    features = toxicity.present("some words here")
+    ratios[features[:5]], weights[features] = [1.5, -2, 3, 0, 1], 0.7
+    model = toxicity.ToxicityModel(ratios, weights, -0.3)
+    x = np.array([1.5, -2, 3, 1])
+    z = 0.7 * (x / np.sqrt((x * x).sum())).sum() - 0.3
+    assert model.score("some words here") == pytest.approx(1 / (1 + np.exp(-z)))
+    assert model.score(None) == model.score("") == pytest.approx(1 / (1 + np.exp(0.3)))
+
+
+def test_threshold_is_where_the_cost_is_least():
+    labels = np.array([0, 0, 0, 1, 0, 1, 1])
+    margins = np.array([-3.0, -2, -1, 0, 1, 2, 4])
+    assert toxicity.threshold(margins, labels, 5.0) == 1.5
+    assert toxicity.threshold(margins, labels, 0.1) == -0.5
+    assert toxicity.threshold(margins, np.zeros(7, int)) == 0.0
+    assert toxicity.threshold(np.array([1.0, 1, 5, 5]), np.array([0, 0, 1, 1])) == 3.0
