@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from terrace.llm.common import fold, stored
 
-ORDER, FOLDS = 2, 10
+ORDER, FOLDS = 3, 10
 #: Characters of a chunk and of the texts behind a shard, about.
 CHUNK_CHARS, SHARD_CHARS = 5_000_000, 6_000_000
 #: Roles of a document: scored only, held out for the weights, counted.

@@ -192,7 +192,7 @@ def test_lm_score_is_the_interpolated_probability(spark):
     learn = lm.learn_weights
     lm.learn_weights = lambda *a, **k: seen.setdefault("w", learn(*a, **k))
     try:
-        found = {r["doc_id"]: r["score"] for r in lm.scored(docs).collect()}
+        found = {r["doc_id"]: r["score"] for r in lm.scored(docs, order=2).collect()}
     finally:
         lm.learn_weights = learn
     from collections import Counter
