@@ -18,6 +18,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,16 +130,19 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     return rows.mapInArrow(cut, "item string, window array<binary>").distinct()
 
 
-def _passes(benchmark: DataFrame, size: int, per_pass: int) -> Iterator:
-    """Broadcast search machines, one for each block of windows; none without windows."""
+def _passes(benchmark: DataFrame, size: int, per_pass: int) -> Iterator[tuple[Broadcast, bool]]:
+    """Broadcast search machines, one for each block of windows, and whether it is the last.
+
+    None without windows. A machine is made when it is asked for, and is to be dropped before
+    the next one, so neither the driver nor a worker ever holds more than a pass.
+    """
     windows = stored(benchmark_windows(benchmark, size), "windows")
     spark, blocks = windows.sparkSession, -(-windows.count() // per_pass)
     block = F.pmod(F.xxhash64("item", "window"), F.lit(blocks))
     for k in range(blocks):
         rows = windows.filter(block == k).collect()  # about per_pass rows
-        yield spark.sparkContext.broadcast(
-            matchers((r["item"], [bytes(w) for w in r["window"]]) for r in rows)
-        )
+        machines = matchers((r["item"], [bytes(w) for w in r["window"]]) for r in rows)
+        yield spark.sparkContext.broadcast(machines), k + 1 == blocks
 
 
 SPANS = T.ArrayType(
@@ -207,16 +211,23 @@ def find_passages(
         F.array().cast(SPANS).alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    passes = list(_passes(benchmark, size, per_pass)) or [None]
-    for k, machines in enumerate(passes):
-        found = found.mapInArrow(searcher(machines, k + 1 == len(passes)), schema)
-    return found.drop("text")
+    none = True
+    for machines, last in _passes(benchmark, size, per_pass):
+        none, found = False, found.mapInArrow(searcher(machines, last), schema)
+        if not last:  # what was found so far is kept, the machines are not
+            found = stored(found, "passages")
+            machines.destroy()
+    return (found.mapInArrow(searcher(None, True), schema) if none else found).drop("text")
 
 
 def without_passages(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, per_pass: int = WINDOWS_PER_PASS
 ) -> DataFrame:
-    """The documents in which no window occurs, with all their columns; nothing is shuffled."""
+    """The documents in which no window occurs, with all their columns; nothing is shuffled.
+
+    Null and empty texts stay; repeated rows stay or go together; other columns may have any
+    name; empty tables give an empty result, or all documents if the benchmark is empty.
+    """
 
     def keeper(machines: object, at: int):
         def clean(text: bytes | None) -> bool:
@@ -230,8 +241,11 @@ def without_passages(
 
         return run
 
-    for machines in _passes(benchmark, size, per_pass):
+    for machines, last in _passes(benchmark, size, per_pass):
         docs = docs.mapInArrow(keeper(machines, docs.columns.index("text")), docs.schema)
+        if not last:
+            docs = stored(docs, "clean_so_far")
+            machines.destroy()
     return docs
 
 
