@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -170,6 +171,72 @@ def update_ledger(docs: DataFrame, known: DataFrame, path: str, rules: Sequence[
     return scanned
 
 
+HISTORY = "doc_id bigint, blob string, seen timestamp"
+
+
+def read_history(spark: SparkSession, path: str, doc_id: str = "bigint") -> DataFrame:
+    """Every path (``doc_id``), each content it ever had (``blob``), and when that was first seen."""
+    schema = HISTORY.replace("bigint", doc_id, 1)
+    try:
+        rows = spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return rows.groupBy("doc_id", "blob").agg(F.min("seen").alias("seen"))
+
+
+def scan_history(
+    docs: DataFrame,
+    ledger_path: str,
+    history_path: str,
+    seen: datetime | None = None,
+    rules: Sequence[Rule] = RULES,
+) -> tuple[int, int]:
+    """Add the present contents to the history and scan those the ledger lacks.
+
+    Returns how many versions and how many blobs were new. Only pairs of blob and rule
+    version that were never scanned are; a second call on the same documents reads their
+    hashes and writes nothing. The ledger is written before the history, so after a failure
+    in between the versions are still new, and their blobs are not scanned again.
+    """
+    spark, when = docs.sparkSession, seen or datetime.now(timezone.utc)
+    known = stored(versions(docs).distinct(), "versions")
+    scanned = update_ledger(docs, known, ledger_path, rules)
+    before = read_history(spark, history_path, dict(known.dtypes)["doc_id"])
+    same = known["doc_id"].eqNullSafe(before["doc_id"]) & (known["blob"] == before["blob"])
+    new = stored(known.join(before, same, "left_anti"), "new_versions")
+    added = new.count()
+    if added:
+        new.withColumn("seen", F.lit(when).cast("timestamp")).write.mode("append").parquet(history_path)
+    return added, scanned
+
+
+def findings_by_path(
+    docs: DataFrame, ledger_path: str, history_path: str, rules: Sequence[Rule] = RULES
+) -> DataFrame:
+    """Findings of every version a path ever had: ``doc_id``, ``blob``, ``seen``, ``current``
+    (whether it is the content now), ``kind``, ``start`` and ``end``.
+
+    A secret that a later version took out is still found, under the version that had it. A
+    blob's findings are joined to all paths that had it; a blob of very many paths is a
+    skewed key, which the adaptive join splits.
+    """
+    spark = docs.sparkSession
+    names = [r.name for r in rules]
+    found = (
+        read_ledger(spark, ledger_path).select("blob", F.explode("findings").alias("f"))
+        .select("blob", "f.*").filter(F.col("rule").isin(names)).distinct()
+    )
+    history = read_history(spark, history_path, docs.schema["doc_id"].dataType.simpleString())
+    now = versions(docs).distinct().select(F.col("doc_id").alias("id_now"), F.col("blob").alias("blob_now"))
+    same = F.col("doc_id").eqNullSafe(F.col("id_now")) & (F.col("blob") == F.col("blob_now"))
+    return history.join(found, "blob").join(now, same, "left").select(
+        "doc_id", "blob", "seen", F.col("blob_now").isNotNull().alias("current"),
+        F.substring_index("rule", "@", 1).alias("kind"), "start", "end",
+    )
+
+
 def find_secrets(
     docs: DataFrame, ledger_path: str | None = None, rules: Sequence[Rule] = RULES
 ) -> DataFrame:
