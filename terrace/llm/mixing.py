@@ -7,7 +7,7 @@ so at any time each source has had its share of the slots to less than one block
 
 Weights are exact: fractions are brought to whole numbers, none is rounded. Only blocks
 that a source has are scheduled, so one of little weight costs no more slots than it has
-blocks. What is to come depends only on the slot and the blocks given so far: one pass
+blocks, and the size of a block bounds how many there are in all. What is to come depends only on the slot and the blocks given so far: one pass
 over the blocks notes these once a period, and tasks plan the periods apart. Documents of a
 source come in the order of a hash, and a block is a fixed number of characters of that
 sequence. The running sum of characters is taken in buckets of the hash, to which the
@@ -30,6 +30,8 @@ from terrace.llm.common import stored
 
 #: Blocks planned in one go, the power of a source's size that is its weight, characters a block.
 PERIOD, POWER, BLOCK_CHARS = 1000, 0.5, 20_000
+#: Blocks that are scheduled at most, but for one a source; with more characters blocks are larger.
+MOST_BLOCKS = 5_000_000
 #: Documents of a bucket, about.
 BUCKET_ROWS = 2_000
 SEED = 17
@@ -124,13 +126,18 @@ def scheduled(
     period: int = PERIOD,
     block_chars: int = BLOCK_CHARS,
     bucket_rows: int = BUCKET_ROWS,
+    most_blocks: int = MOST_BLOCKS,
 ) -> DataFrame:
     """The rows with ``mix_block``, ``mix_release``, ``mix_deadline``, ``mix_slot``, ``mix_start``.
 
     In the order of ``mix_slot`` and ``mix_start`` (characters of the source before the
     document) the sources are mixed. The mixture holds as long as every source lasts; the
     slots of one that has run out stay empty, and no document is left out. A document
-    belongs to the block in which it starts. Without ``weights`` a source weighs the square
+    belongs to the block in which it starts; one longer than a block is whole in its slot all
+    the same, so the sources' characters deviate by a block and their longest text at most.
+    A block has ``block_chars`` characters, or more where ``most_blocks`` of these are too few
+    for all: so the driver's pass and its notes are bounded, and a block is a smaller part of
+    the whole the larger that is. Without ``weights`` a source weighs the square
     root of its characters; a source without weight has null slots.
 
     A null text has no characters. A null source is a source of its own. Documents equal
@@ -153,6 +160,7 @@ def scheduled(
     keyed = keyed.withColumn("bucket", bucket)
     sums = stored(keyed.groupBy("key", "bucket").agg(F.sum("size").alias("chars")), "mix_sums")
     sizes = {r["key"]: r["chars"] for r in sums.groupBy("key").agg(F.sum("chars").alias("chars")).collect()}
+    block_chars = max(block_chars, -(-sum(sizes.values()) // most_blocks))
     if weights is None:
         wanted = {s: max(n, 1) ** POWER for s, n in sizes.items()}
     else:
