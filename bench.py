@@ -60,6 +60,15 @@ HEADLINE = (
     "quality_checks",
     "stream_ingest",
     "stream_replay",
+    "stream_unique",
+    "publish_resumed",
+    "stream_compaction",
+    "colocated_unique",
+    "colocated_metrics",
+    "report_distinct_sketch",
+    "analysis_path",
+    "analysis_inequality",
+    "analysis_trend",
     "layered_run",
 )
 #: A query whose first run takes longer than this many seconds has one warm run only.

@@ -28,6 +28,26 @@ def test_jobs_in_order(spark, tmp_path, capsys):
     assert "`jobs_gold`.`gold_alfabetizacao_analise_output`" in capsys.readouterr().out
 
 
+def test_upkeep_jobs(spark, tmp_path, capsys):
+    root = str(tmp_path)
+    write_sources(tmp_path)
+    for part in (0, 1, 2):
+        records = [("k", bytearray(payload(v), "utf-8")) for v in STUDENTS]  # the same again
+        spark.createDataFrame(records, RECORD_SCHEMA).write.mode("append").parquet(f"{root}/published")
+        job = ["stream", "--root", root, "--label", "first", "--records", f"{root}/published"]
+        assert run.main([*job, "--unique", "7 days", "--drain"]) == 0
+    students = Store(spark, root).read("bronze", L.STUDENT)
+    assert students.groupBy("ano", "id_aluno", "id_escola").count().filter("count > 1").isEmpty()
+    capsys.readouterr()
+    assert run.main(["refresh", "--root", root]) == 0
+    assert "gold" in capsys.readouterr().out
+    assert run.main(["refresh", "--root", root]) == 0
+    assert capsys.readouterr().out == ""
+    assert run.main(["compact", "--root", root, "--sweep"]) == 0
+    with pytest.raises(SystemExit):
+        run.main(["stream", "--root", root, "--label", "a", "--kafka", "h", "--unique", "1 day"])
+
+
 def test_an_orphan_fails_the_job(spark, tmp_path):
     files = dict(FILES)
     name = "br_bd_diretorios_brasil_municipio.csv"
