@@ -92,16 +92,16 @@ def class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         index = np.flatnonzero(total.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.append(index, -1), pa.int64()),
-                pa.array(np.append(total[0][index], n[0]), pa.int64()),
-                pa.array(np.append(total[1][index], n[1]), pa.int64()),
+                pa.array(np.append(index, -1), pa.int32()),
+                pa.array(np.append(total[0][index], n[0]), pa.int32()),
+                pa.array(np.append(total[1][index], n[1]), pa.int32()),
             ],
             names=["feature", "other", "toxic"],
         )
 
     rows = (
         labelled.select("text", "toxic")
-        .mapInArrow(count, "feature bigint, other bigint, toxic bigint")
+        .mapInArrow(count, "feature int, other int, toxic int")
         .groupBy("feature")
         .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
         .toArrow()  # one row a feature, 2**BITS + 1 at most
@@ -237,7 +237,7 @@ def scored(
         marks.hint("shuffle_hash"), "doc_id"
     ).withColumn("aside", fold("doc_id", folds) == 1)
     # Read several times: for the counts, the sizes of the classes and the samples.
-    parts = 1 + marks.count() // COUNTED_ROWS
+    parts = 2 + marks.count() // COUNTED_ROWS
     model = fit(stored(learnt, "labelled_texts").coalesce(parts), sample_rows)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType(
