@@ -105,13 +105,14 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def candidates(
-    placed: DataFrame, first: int, count: int, crossed: bool, block: int = BLOCK
+    placed: DataFrame, first: int, count: int, crossed: bool, block: int | None = None
 ) -> DataFrame:
     """``key``, ``group``, ``text_key`` and ``root`` of the texts to be compared.
 
     Only keys with more than one root. A group is one of the key's blocks, or with
     ``crossed`` two of them.
     """
+    block = block or BLOCK
     keyed = placed.select(F.explode(F.slice("bands", first + 1, count)).alias("key"), "text_key", "root")
     of_key = keyed.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from terrace.llm import resemblance, simhash
@@ -55,6 +56,61 @@ def test_edited_copies_are_one_group(spark):
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == sorted(set(label))
 
 
+@pytest.mark.parametrize(("block", "few"), [(2, 8), (5, 0)])
+def test_blocks_lose_no_link(spark, monkeypatch, block, few):
+    """Texts of a key in several blocks, which only the last pass brings together."""
+    monkeypatch.setattr(resemblance, "BLOCK", block)
+    monkeypatch.setattr(resemblance, "FEW", few)
+    draw = random.Random(11)
+    words, texts = [f"w{i}" for i in range(4000)], []
+    for _ in range(6):  # a text and copies of it, and copies of these, each a little further off
+        own = [[draw.choice(words) for _ in range(120)]]
+        for _ in range(25):
+            copy = list(draw.choice(own[-8:]))
+            for _ in range(draw.randint(1, 3)):
+                copy[draw.randrange(len(copy))] = draw.choice(words)
+            own.append(copy)
+        texts += [" ".join(x) for x in own]
+    draw.shuffle(texts)
+    label, beyond = _expected(texts)
+    assert beyond > 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    kept = simhash.one_of_each(docs, similarity=resemblance.SIMILARITY)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(label))
+
+
+def test_forests_of_a_group_against_all_pairs():
+    draw = random.Random(1)
+    for size in (2, 8, 9, 40, 150):
+        sets = []
+        for _ in range(size):
+            if sets and draw.random() < 0.7:
+                own = set(draw.choice(sets).tolist())
+                for _ in range(draw.randint(0, max(1, len(own) // 6))):
+                    own.discard(draw.choice(sorted(own)))
+                    own.add(draw.getrandbits(40))
+            else:
+                own = {draw.getrandbits(40) for _ in range(draw.randint(1, 60))}
+            sets.append(np.array(sorted(own), np.int64))
+        roots = np.array([draw.randrange(size) for _ in range(size)])
+        every = [
+            (int(roots[i]), int(roots[j])) for i in range(size) for j in range(i)
+            if 5 * len({*sets[i]} & {*sets[j]}) >= 4 * len({*sets[i]} | {*sets[j]})
+        ]
+        found = resemblance.group_links(roots.copy(), sets, 800)
+        assert set(found) <= {*every, *((b, a) for a, b in every)}
+        assert len(found) < len(set(roots.tolist())) or not found
+
+        def parts(links, roots=roots):
+            label = {int(r): int(r) for r in roots}
+            for a, b in links:
+                low, high = sorted((label[a], label[b]))
+                label = {k: low if v == high else v for k, v in label.items()}
+            return label
+
+        assert parts(found) == parts(every)
+
+
 def test_sketches_of_every_text_with_words(spark):
     docs = spark.createDataFrame([("a b c d e f",), ("A  b c d e f",), ("",), (None,), ("x",), ("x",)], "text string")
     found = resemblance.sketches(docs).collect()
