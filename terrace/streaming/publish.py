@@ -75,8 +75,10 @@ def publish(
         rows = df.filter(own.isin([r["range"] for r in part]))
         # The range is computed from the record's own columns, next to the payload.
         records = to_records(rows.withColumn("_range", range_of(rows, key, ranges)), key, omit=("_range",))
+        # Small ranges get a file or so, large ones are split; else every task had a file in each.
+        dealt = records.withColumnRenamed("_range", "range").hint("rebalance", F.col("range"))
         (
-            records.withColumnRenamed("_range", "range").write.mode("overwrite")
+            dealt.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", records_per_file)
             .partitionBy("range").parquet(path)
