@@ -75,13 +75,18 @@ def rows_writer(
     label: str,
     clock: Callable[[], Run] = Run,
     compact: bool = False,
+    look_first: bool = True,
 ) -> Callable[[DataFrame, int], None]:
-    """The handler of batches that ``parse`` turns into rows with a ``record_status``."""
+    """The handler of batches that ``parse`` turns into rows with a ``record_status``.
+
+    Without ``look_first`` a batch is not asked first whether it is empty, so that it is
+    computed once; an empty one then leaves a directory without files.
+    """
     if not re.fullmatch(r"[A-Za-z][\w-]*", label):
         raise ValueError("a run label starts with a letter, so that it is read back as text")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        if look_first and batch.isEmpty():
             return
         rows = raw_lineage(parse(batch), clock(), entity, f"stream:{entity}")
         write_layer(

@@ -68,8 +68,13 @@ def unique_writer(
     clock: Callable[[], Run] = Run,
     compact: bool = False,
 ) -> Callable[[DataFrame, int], None]:
-    """The handler of a batch of :func:`unique_rows`; a repeated batch replaces itself."""
-    return rows_writer(lambda batch: batch, spec, entity, out, label, clock, compact)
+    """The handler of a batch of :func:`unique_rows`; a repeated batch replaces itself.
+
+    A batch is computed once, since each time it is the state is met and written again.
+    """
+    return rows_writer(
+        lambda batch: batch, spec, entity, out, label, clock, compact, look_first=False
+    )
 
 
 def unique_status(query: StreamingQuery) -> dict[str, object]:
