@@ -8,6 +8,7 @@ of all tokens' bytes.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import itertools
 from collections.abc import Iterable, Iterator
@@ -41,9 +42,13 @@ def _encoding(pattern: str, ranks: dict[bytes, int]):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.cache
+def _prober(pattern: str):
+    return _encoding(pattern, {bytes([b]): b for b in range(256)})
+
+
 def _matches(pattern: str, text: str) -> str:
-    found = _encoding(pattern, {bytes([b]): b for b in range(256)}).encode_ordinary(text)
-    return bytes(found).decode()
+    return bytes(_prober(pattern).encode_ordinary(text)).decode()
 
 
 def class_table() -> np.ndarray:

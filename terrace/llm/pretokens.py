@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 
 CODE_POINTS = 0x110000
+#: Code points whose classes are asked for at once; surrogates fill whole parts.
+ASKED = 0x800
 #: Distinct pieces that a worker remembers before it starts anew.
 REMEMBERED = 600_000
 
@@ -134,11 +136,13 @@ def class_table(letter: np.ndarray, number: np.ndarray, space: np.ndarray) -> np
 def masks(matches: Callable[[str, str], Sequence[str]]) -> list[np.ndarray]:
     """Masks of letters, numbers and white space; ``matches(pattern, text)`` are one-character
     matches as the library that is followed finds them, whatever edition of Unicode it has."""
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, CODE_POINTS)]))
     found = []
     for pattern in (r"\p{L}", r"\p{N}", r"\s"):
         mask = np.zeros(CODE_POINTS, bool)
-        mask[[ord(c) for c in matches(pattern, every)]] = True
+        for start in range(0, CODE_POINTS, ASKED):  # a few at a time, as libraries keep much of a text
+            if not 0xD800 <= start < 0xE000:  # surrogates are no characters
+                some = matches(pattern, "".join(map(chr, range(start, start + ASKED))))
+                mask[[ord(c) for c in some]] = True
         found.append(mask)
     return found
 
