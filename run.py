@@ -24,7 +24,7 @@ from terrace.plans.refresh import refresh_layers
 from terrace.sources.layers import Store, write_layer
 from terrace.streaming.compaction import compact_batches, sweep
 from terrace.streaming.ingest import batch_writer, file_records, kafka_records, start_ingest
-from terrace.streaming.unique import arriving_records, unique_rows, unique_writer
+from terrace.streaming.unique import arriving_records, state_partitions, unique_rows, unique_writer
 
 
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -80,7 +80,8 @@ def stream(store: Store, args: argparse.Namespace) -> None:
     handler = writer(L.STUDENT_PAYLOAD, L.STUDENT, out, args.label, compact=args.compact)
     checkpoint = f"{store.root}/checkpoints/{L.STUDENT}/{args.label}"
     every = None if args.drain else args.every
-    start_ingest(records, handler, checkpoint, every).awaitTermination()
+    partitions = state_partitions(store.spark) if args.unique else None
+    start_ingest(records, handler, checkpoint, every, partitions).awaitTermination()
 
 
 def main(argv: Sequence[str] | None = None) -> int:

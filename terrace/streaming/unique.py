@@ -21,19 +21,22 @@ from pyspark.sql.streaming import StreamingQuery
 from terrace.contracts import PayloadSpec
 from terrace.functions.lineage import Run
 from terrace.operators.dedup import lacks_key
-from terrace.streaming.ingest import ingest_status, rows_writer
+from terrace.streaming.ingest import PARTITIONS, ingest_status, record_reader, rows_writer
 from terrace.streaming.records import RECORD_SCHEMA, VALID, parse_records
 
 ARRIVED, PLACE = "_arrived", "_place"
+#: Every batch loads and writes every partition of the state, so both are kept few.
+BACKLOG_BATCHES, PARTITIONS_A_CORE = 8, 2
 
 
 def arriving_records(
     spark: SparkSession, path: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Record files as a stream, with the time each file arrived and each record's place."""
-    reader = spark.readStream.schema(RECORD_SCHEMA)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    """Record files as a stream, with the time each file arrived and each record's place.
+
+    Batches are sized as those of :func:`terrace.streaming.ingest.file_records`.
+    """
+    reader = record_reader(spark, path, files_per_batch, BACKLOG_BATCHES)
     place = F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
     return reader.parquet(path).select(
         *RECORD_SCHEMA.names,
@@ -70,11 +73,25 @@ def unique_writer(
 ) -> Callable[[DataFrame, int], None]:
     """The handler of a batch of :func:`unique_rows`; a repeated batch replaces itself.
 
-    A batch is computed once, since each time it is the state is met and written again.
+    A batch is computed once, since each time it is the state is met and written again. Its
+    rows are dealt anew, so that it leaves a file per core and year, not per state partition.
     """
-    return rows_writer(
-        lambda batch: batch, spec, entity, out, label, clock, compact, look_first=False
-    )
+
+    def dealt(batch: DataFrame) -> DataFrame:
+        tasks = batch.sparkSession.sparkContext.defaultParallelism
+        return batch.repartition(tasks, *spec.fields, "raw_record")
+
+    return rows_writer(dealt, spec, entity, out, label, clock, compact, look_first=False)
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions of the state of a new stream: those of the session's shuffles, or two a core.
+
+    A partition costs each batch some file operations, whatever it holds, and a checkpoint
+    keeps the number it began with.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return min(int(spark.conf.get(PARTITIONS)), PARTITIONS_A_CORE * cores)
 
 
 def unique_status(query: StreamingQuery) -> dict[str, object]:

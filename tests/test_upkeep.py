@@ -19,7 +19,7 @@ from terrace.streaming import compaction
 from terrace.streaming.ingest import batch_writer, drain, file_records, read_ingested, read_rejected
 from terrace.streaming.publish import NOTE, publish, published_ranges, range_of
 from terrace.streaming.records import RECORD_SCHEMA, to_records
-from terrace.streaming.unique import arriving_records, unique_rows, unique_status, unique_writer
+from terrace.streaming.unique import arriving_records, state_partitions, unique_rows, unique_status, unique_writer
 from tests.test_layers import FILES, STUDENTS
 
 SPEC = PayloadSpec(("ano", "id", "nota"), (("nota", "double"),))
@@ -71,6 +71,26 @@ def test_a_stream_stores_a_key_once_over_restarts(spark, tmp_path):
     assert stream.ids() == ["1", "2", "2", "3"]
 
 
+def test_a_batch_of_unique_rows_leaves_a_file_a_core_and_year_whatever_the_state(spark, tmp_path):
+    _records(spark, [_text(str(n)) for n in range(200)] + [_text("7"), "no record"], f"{tmp_path}/in")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    try:
+        assert state_partitions(spark) == 8
+        stream = _Stream(spark, tmp_path)
+        _records(spark, [_text("7"), _text("200")], f"{tmp_path}/in")
+        drain(stream.rows(), stream.write, f"{tmp_path}/c", state_partitions(spark))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stored = read_ingested(spark, f"{tmp_path}/out")
+    assert (stored.count(), stored.select("id").distinct().count()) == (201, 201)
+    assert read_rejected(spark, f"{tmp_path}/out").count() == 1
+    batches = [b for b in (tmp_path / "out" / "run=a").iterdir() if b.is_dir()]
+    assert all(len(list(b.rglob("record_status=valid/**/*.parquet"))) <= 4 for b in batches)
+    assert max(int(p.name) for p in (tmp_path / "c" / "state" / "0").iterdir() if p.name.isdigit()) < 8
+
+
 def test_a_forgotten_key_is_stored_again_and_removed_later(spark, tmp_path):
     stream = _Stream(spark, tmp_path)
     stream.arrive(_text("1"))
