@@ -16,7 +16,7 @@ from terrace.sources.buckets import bucketed_name, merge_bucketed, ordered_bucke
 from terrace.sources.changes import changed, partition_files, write_note
 from terrace.sources.layers import Store
 from terrace.streaming import compaction
-from terrace.streaming.ingest import batch_writer, drain, file_records, read_ingested, read_rejected
+from terrace.streaming.ingest import BACKLOG_BATCHES, batch_writer, drain, file_records, read_ingested, read_rejected
 from terrace.streaming.publish import NOTE, publish, published_ranges, range_of
 from terrace.streaming.records import RECORD_SCHEMA, to_records
 from terrace.streaming.unique import arriving_records, state_partitions, unique_rows, unique_status, unique_writer
@@ -91,6 +91,17 @@ def test_a_batch_of_unique_rows_leaves_a_file_a_core_and_year_whatever_the_state
     assert max(int(p.name) for p in (tmp_path / "c" / "state" / "0").iterdir() if p.name.isdigit()) < 8
 
 
+def test_a_backlog_of_many_files_comes_in_few_batches(spark, tmp_path):
+    texts = spark.createDataFrame([("k", bytearray(_text(str(n)), "utf-8")) for n in range(70)], RECORD_SCHEMA)
+    texts.repartition(70).write.parquet(f"{tmp_path}/in")
+    files = len(list((tmp_path / "in").glob("*.parquet")))
+    assert files > 2 * BACKLOG_BATCHES
+    drain(file_records(spark, f"{tmp_path}/in", 1), batch_writer(SPEC, "e", f"{tmp_path}/out", "a"), f"{tmp_path}/c")
+    batches = [b for b in (tmp_path / "out" / "run=a").iterdir() if b.is_dir()]
+    assert 1 < len(batches) <= BACKLOG_BATCHES
+    assert sorted(int(r["id"]) for r in read_ingested(spark, f"{tmp_path}/out").collect()) == list(range(70))
+
+
 def test_a_forgotten_key_is_stored_again_and_removed_later(spark, tmp_path):
     stream = _Stream(spark, tmp_path)
     stream.arrive(_text("1"))
