@@ -63,11 +63,6 @@ def analytical_table(
         *[F.col(m).alias(f"{m}_municipio") for m in MEASURES],
     )
 
-    students = tables.get(L.STUDENT)
-    if students is not None:
-        metrics = student_metrics(students, L.STUDENT_METRICS, composites, L.SLICE_SUMS)
-        table = table.join(metrics, on=list(GRAIN), how="left")
-
     state_grain = ("ano", "sigla_uf", "serie", "rede")
     state_view = state.select(*state_grain, *[F.col(m).alias(f"{m}_uf") for m in MEASURES])
     table = add_columns(table, state_view, state_grain, L.STATE_RESULT)
@@ -84,5 +79,11 @@ def analytical_table(
         targets = targets_for(tables.get(entity), scale, place)
         table = add_columns(table, targets, ("ano", *place), entity)
 
+    # Last, since these are the widest columns: a join with large targets shuffles the table.
+    students = tables.get(L.STUDENT)
+    if students is not None:
+        metrics = student_metrics(students, L.STUDENT_METRICS, composites, L.SLICE_SUMS)
+        table = table.join(metrics, on=list(GRAIN), how="left")
+
     table = add_statuses(table, L.STATUSES)
     return table.select([c for c in (*L.ANALYTICAL_COLUMNS, *L.SLICE_SUMS) if c in table.columns])

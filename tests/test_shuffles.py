@@ -1,6 +1,8 @@
 """What is not shuffled on the way to the analytical table."""
 
+from terrace.plans import literacy as L
 from terrace.plans import star
+from terrace.plans.analytical import GRAIN, analytical_table
 
 
 def _star(spark, where):
@@ -25,3 +27,13 @@ def test_a_scratch_table_is_written_as_its_rows_lie(spark, tmp_path):
     four = lambda: spark.range(0, 40, 1, 4).selectExpr("id", "1997 AS ano")
     table = star.written_once(spark, where, "four", four)
     assert (table.count(), len(table.inputFiles())) == (40, 4)  # one if they were shuffled by year
+
+
+def test_student_metrics_join_last_and_once_a_row(spark, tmp_path):
+    tables = star.conformed(spark, _star(spark, tmp_path))
+    table = analytical_table(tables, star.COMPOSITES)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    outermost = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert all(f"{c}#" in outermost for c in GRAIN)
+    assert table.count() == tables[L.MUNICIPAL_RESULT].count()
+    assert table.filter("alunos_total IS NULL").isEmpty()
