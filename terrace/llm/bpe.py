@@ -64,7 +64,12 @@ class Codec:
     ) -> None:
         # A piece is not split again.
         merge = _encoding("(?s:.+)", ranks)._encode_single_piece
-        self.pieces = pretokens.PieceIds(table, merge, remembered)
+
+        def merged(some: list[bytes]) -> tuple[list[int], Iterable[int]]:
+            found = list(map(merge, some))
+            return list(itertools.chain.from_iterable(found)), map(len, found)
+
+        self.pieces = pretokens.PieceIds(table, merged, remembered)
         tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token

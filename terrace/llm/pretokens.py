@@ -4,19 +4,21 @@ The pieces are those of the pattern that byte-level vocabularies split texts by:
 
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 
-Every code point has a class, which an array holds. A class is a function from states to
-states, and these functions compose associatively. Their closure has some two dozen members,
-so each is a number and composing two is a look-up in a table. A text is cut into as many
-runs as they are long; all runs are composed side by side, then the runs' totals, and with
-what stands before its run every position knows its state. State and class tell whether a
-piece begins there, or, where that took a look ahead, one position earlier.
+Every code point has a class, which an array holds. Whether a piece begins at a character
+follows from its class and those of the two characters around it, for all characters at once;
+the few quotes with which a piece begins are looked at again, as they may begin a contraction.
+
+A machine with states says the same one character after the other: a class is a function from
+states to states, and these functions compose associatively, each a number and composing two
+a look-up in a table (:func:`scan`). It takes several times as long and serves as the
+definition that the tests hold the shorter rules to.
 """
 
 from __future__ import annotations
 
 import itertools
 from array import array
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +26,14 @@ import pyarrow as pa
 CODE_POINTS = 0x110000
 #: Code points whose classes are asked for at once; surrogates fill whole parts.
 ASKED = 0x800
-#: Distinct pieces that a worker remembers before it starts anew.
-REMEMBERED = 600_000
+#: Distinct pieces that a worker remembers, and those it has merged at once.
+REMEMBERED, MERGED = 600_000, 4096
 
 #: Classes of code points. END stands after every text.
 LETTER, NUMBER, OTHER, BLANK, SPACE, QUOTE, SINGLE, R_OR_V, E, L, END = range(11)
+#: The kind of a class; pieces but contractions are of one kind, after a blank at most.
+KINDS = np.array([2, 3, 4, 0, 1, 4, 2, 2, 2, 2, 5], np.uint8)
+BLANKS, SPACES = 0, 1
 #: States: what the characters so far are, since the piece or the white space began.
 (
     START, LETTERS, NUMBERS, OTHERS, BLANK_1, BLANK_MORE, SPACE_1, SPACE_MORE, QUOTED, QUOTED_RV,
@@ -73,7 +78,6 @@ def _step(state: int, seen: int) -> tuple[int, int]:
 
 
 _TABLE = [[_step(state, seen) for seen in range(END + 1)] for state in range(CLOSED + 1)]
-BEGINS = np.array([[begins for _, begins in row] for row in _TABLE], np.uint8)
 
 
 def _closure() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,12 +98,10 @@ def _closure() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 FUNCTIONS, OF_CLASS, PRODUCTS = _closure()
-#: Products and beginnings by two numbers in one: the first one shifted, then the second.
+#: Products by two numbers in one: the first one shifted, then the second.
 _SHIFT = int(len(FUNCTIONS) - 1).bit_length()
 _PRODUCT = np.zeros(len(FUNCTIONS) << _SHIFT, np.uint16)
 _PRODUCT.reshape(len(FUNCTIONS), -1)[:, : len(FUNCTIONS)] = PRODUCTS
-_BEGIN = np.zeros(len(FUNCTIONS) << _SHIFT, np.uint8)
-_BEGIN.reshape(len(FUNCTIONS), -1)[:, OF_CLASS] = BEGINS[FUNCTIONS[:, START]]
 
 
 def scan(numbers: np.ndarray) -> np.ndarray:
@@ -147,6 +149,32 @@ def masks(matches: Callable[[str, str], Sequence[str]]) -> list[np.ndarray]:
     return found
 
 
+def begins(codes: np.ndarray, table: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Whether a piece begins at each character; ``edges`` are where texts begin, and the end."""
+    n = len(codes)
+    edge = np.zeros(n + 2, bool)
+    edge[edges] = True
+    kinds = KINDS[table][codes]
+    white = kinds <= SPACES
+    # White space goes on whatever it is, and a blank is joined to what follows it.
+    first = edge[:n].copy()
+    first[1:] |= (kinds[1:] != kinds[:-1]) & (kinds[:-1] != BLANKS) & ~(white[1:] & white[:-1])
+    # The last of several white spaces before something else is no part of those before it.
+    first[1:-1] |= white[:-2] & white[1:-1] & ~(white[2:] | edge[2:n])
+    # A quote with which a piece begins, and a contraction after it.
+    quotes = np.flatnonzero(codes == ord("'"))
+    quotes = quotes[first[quotes]]
+    one, two = (table[codes[np.minimum(quotes + i, n - 1)]] for i in (1, 2))
+    one[edge[quotes + 1]] = END
+    two[edge[quotes + 1] | edge[np.minimum(quotes + 2, n)]] = END
+    long = ((one == R_OR_V) & (two == E)) | ((one == L) & (two == L))
+    whole = (one == SINGLE) | long
+    first[quotes[whole] + 1] = False
+    after = (quotes + 2 + long)[whole]
+    first[after[after < n]] = True
+    return first
+
+
 def pieces(texts: pa.Array, table: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """All pieces of the texts one after another (binary), and how many each text has.
 
@@ -162,21 +190,10 @@ def pieces(texts: pa.Array, table: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         chars = ends - ends[0]
     else:
         wide = 1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
-        at = np.concatenate([[0], np.cumsum(wide, dtype=np.int64)])
+        at = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(wide, dtype=np.int64, out=at[1:])
         chars = np.searchsorted(at, ends - ends[0])
-    # Where each text ends, with an END for every text before it.
-    n, count = len(codes), len(texts)
-    stops = chars[1:] + np.arange(count)
-    is_text = np.ones(n + count, bool)
-    is_text[stops] = False
-    seen = np.full(n + count, OF_CLASS[END], np.uint16)
-    seen[is_text] = OF_CLASS[table][codes]
-    before = np.zeros(n + count, np.uint16)
-    before[1:] = scan(seen)[:-1]
-    begins = _BEGIN[(before << _SHIFT) | seen]
-    first = (begins & HERE).astype(bool)
-    first[:-1] |= (begins[1:] & BEFORE).astype(bool)
-    first = first[is_text]
+    first = begins(codes, table, chars)
     starts = np.flatnonzero(first)
     offsets = np.append(at[starts], at[-1])
     counts = np.searchsorted(starts, chars)
@@ -195,29 +212,53 @@ def _slices(values: pa.LargeBinaryArray) -> list[bytes]:
     return [data[a:b] for a, b in itertools.pairwise(ends)]
 
 
+def packed(ids: list[int], sizes: Iterable[int]) -> list[bytes]:
+    """Lists of these sizes, each as 32-bit integers, which is compact."""
+    data = array("i", ids).tobytes()
+    ends = itertools.accumulate((4 * n for n in sizes), initial=0)
+    return [data[a:b] for a, b in itertools.pairwise(ends)]
+
+
 class PieceIds:
     """Ids of texts, piece by piece. A batch has each distinct piece once, and the ids of a piece
-    are made once as long as it is remembered."""
+    are made once as long as it is remembered.
+
+    ``merge`` gives the ids of some pieces, and how many each has. What was met lately is
+    remembered: when a third of ``remembered`` has come, it takes the place of the third before
+    it, of which stays what is met again.
+    """
 
     def __init__(
-        self, table: np.ndarray, merge: Callable[[bytes], list[int]], remembered: int = REMEMBERED
+        self,
+        table: np.ndarray,
+        merge: Callable[[list[bytes]], tuple[list[int], Iterable[int]]],
+        remembered: int = REMEMBERED,
     ) -> None:
         self.table, self.merge, self.remembered = table, merge, remembered
-        self.known: dict[bytes, bytes] = {}  # the ids as 32-bit integers, which is compact
+        self.known: dict[bytes, bytes] = {}  # packed ids
+        self.older: dict[bytes, bytes] = {}
+
+    def _merged(self, some: list[bytes]) -> list[bytes]:
+        parts = list(map(self.older.get, some))
+        new = [i for i, own in enumerate(parts) if own is None]
+        for start in range(0, len(new), MERGED):
+            at = new[start : start + MERGED]
+            for i, own in zip(at, packed(*self.merge([some[i] for i in at])), strict=True):
+                parts[i] = own
+        return parts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Where each text's ids end, with a 0 in front, and all ids. ``texts`` has no nulls."""
         found, counts = pieces(texts, self.table)
         coded = found.dictionary_encode()
-        if len(self.known) > self.remembered:
-            self.known = {}
-        known, merge = self.known, self.merge
-        parts = []
-        for piece in _slices(coded.dictionary):
-            own = known.get(piece)
-            if own is None:
-                own = known[piece] = array("i", merge(piece)).tobytes()
-            parts.append(own)
+        if len(self.known) > self.remembered // 3:
+            self.known, self.older = {}, self.known
+        distinct = _slices(coded.dictionary)
+        parts = list(map(self.known.get, distinct))
+        at = [i for i, own in enumerate(parts) if own is None]
+        some = [distinct[i] for i in at]
+        for i, piece, own in zip(at, some, self._merged(some), strict=True):
+            parts[i] = self.known[piece] = own
         sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         lists = pa.LargeListArray.from_arrays(
             np.append(0, np.cumsum(sizes)), pa.array(np.frombuffer(b"".join(parts), np.int32))

@@ -93,8 +93,11 @@ class Encoder:
             # Pieces are remembered here, so the model need not keep them as well.
             merge = models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0).tokenize
 
-            def ids(piece: bytes) -> list[int]:
-                return [t.id for t in merge(codecs.charmap_decode(piece, "strict", _BYTES)[0])]
+            def ids(some: list[bytes]) -> tuple[list[int], Iterable[int]]:
+                text = codecs.charmap_decode(b"".join(some), "strict", _BYTES)[0]
+                ends = itertools.accumulate(map(len, some), initial=0)
+                found = [merge(text[a:b]) for a, b in itertools.pairwise(ends)]
+                return [t.id for own in found for t in own], map(len, found)
 
             self.pieces = pretokens.PieceIds(table, ids, remembered)
 

@@ -210,3 +210,41 @@ def test_scan_is_a_running_product():
             state = int(pretokens.FUNCTIONS[f, state])
             states.append(state)
         assert pretokens.FUNCTIONS[pretokens.scan(numbers), pretokens.START].tolist() == states
+
+
+def test_pieces_begin_where_the_machine_with_states_says():
+    draw = np.random.default_rng(3)
+    pool = np.array([ord(c) for c in "abstmdrvel''' \n\t17!?éⅧ　字😀"], np.uint32)
+    table = bpe.class_table()
+    for _ in range(1500):
+        sizes = draw.integers(0, 12, draw.integers(1, 6))
+        codes = pool[draw.integers(0, len(pool), sizes.sum())]
+        edges = np.append(0, np.cumsum(sizes))
+        own, before, at = pretokens.begins(codes, table, edges), [], 0
+        for size in sizes.tolist():
+            state, found = pretokens.START, [False] * size
+            for i, seen in enumerate([*table[codes[at : at + size]].tolist(), pretokens.END]):
+                state, begin = pretokens._step(state, seen)
+                if begin & pretokens.HERE and i < size:
+                    found[i] = True
+                if begin & pretokens.BEFORE:
+                    found[i - 1] = True
+            before += found
+            at += size
+        assert own.tolist() == before
+
+
+def test_a_piece_of_every_batch_is_merged_once_whatever_is_forgotten():
+    asked = []
+
+    def merge(some):
+        asked.extend(some)
+        return [len(p) for p in some], [1] * len(some)
+
+    own = pretokens.PieceIds(bpe.class_table(), merge, remembered=30)
+    for n in range(40):
+        new = [f" {chr(97 + n % 26)}{chr(97 + n // 26)}{chr(97 + k)}" for k in range(5)]
+        ends, ids = own.encode(pa.array(["every" + "".join(new), "", "every"]))
+        assert (ends.tolist(), ids.tolist()) == ([0, 6, 6, 7], [5, *[4] * 5, 5])
+        assert len(own.known) + len(own.older) <= 30 + 2 * 6
+    assert asked.count(b"every") == 1 and len(asked) == 201
